@@ -29,7 +29,7 @@ from .joins import broadcast_if_small
 @dataclass(frozen=True)
 class Rule:
     column: str
-    kind: str                      # "not_null" | "unique" | "accepted_values"
+    kind: str                      # "not_null" | "unique" | "accepted_values" | "type"
     values: tuple = field(default=())
     null_fails: bool = False       # accepted_values: a null fails too (strict form)
     model: str = ""
@@ -46,6 +46,9 @@ class Rule:
         if self.kind == "accepted_values":
             bad = ~F.coalesce(c.isin(*self.values), F.lit(False))
             return bad if self.null_fails else (c.isNotNull() & bad)
+        if self.kind == "type":
+            # a value was there (column ``_raw_<c>``) but did not read as the type
+            return F.col(f"_raw_{self.column}") & c.isNull()
         raise ValueError(f"{self.kind} is not a row rule")
 
 
@@ -76,6 +79,14 @@ INGEST_ROW_RULES = [
     Rule("team_name", "not_null"),
 ]
 
+# Row rules of a raw file (raw names): types of required columns, not-null
+# except player, period in range (a null period fails too).
+RAW_ROW_RULES = (
+    [Rule(c, "type") for c in ("id", "index", "period", "timestamp", "type", "team", "player")]
+    + [Rule(c, "not_null") for c in ("id", "index", "timestamp", "type", "team")]
+    + [Rule("period", "accepted_values", tuple(ACCEPTED_PERIODS), null_fails=True)]
+)
+
 REPORT_SCHEMA = "model string, column_name string, test string, failures bigint, status string"
 
 

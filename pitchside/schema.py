@@ -94,3 +94,15 @@ PASS, SHOT, DRIBBLE, PRESSURE = "Pass", "Shot", "Dribble", "Pressure"
 
 MATCHES_SCHEMA = "match_id bigint, home_team string, away_team string, home_score bigint, away_score bigint"
 COMPETITIONS_SCHEMA = "competition_id int, season_id int, competition_name string, season_name string"
+
+# --- nested event format -------------------------------------------------------
+# Detail groups of the nested event format and the fields that
+# arrive as {"name": ...} objects there (plain strings in the flat format).
+NESTED_GROUPS = ("pass", "shot", "carry", "dribble")
+NAMED_FIELDS = {
+    "type", "team", "player", "position", "play_pattern",
+    "pass_height", "pass_body_part", "pass_outcome", "pass_type", "pass_recipient",
+    "shot_outcome", "shot_body_part", "shot_technique", "shot_type", "dribble_outcome",
+}
+# Top-level keys a file must carry in at least one record.
+REQUIRED_KEYS = ["id", "index", "period", "timestamp", "type", "team", "player"]
