@@ -47,7 +47,7 @@ def stream_failure_windows(stream: DataFrame, ts_col: str = "ts", period: str =
     return _finish(agg)
 
 
-def run_stream_alarm(spark: SparkSession, source_glob: str, schema: T.StructType | str,
+def run_stream_alarm(spark: SparkSession, source_dir: str, file_glob: str, schema: T.StructType | str,
                      out_path: str, checkpoint: str, failure_filter: F.Column,
                      ts_col: str = "ts", timeout_s: int = 600) -> DataFrame:
     """Run the alarm as an ``availableNow`` stream over parquet files.
@@ -56,7 +56,8 @@ def run_stream_alarm(spark: SparkSession, source_glob: str, schema: T.StructType
     (one row per window, bounded by the time span, not by the rows), so the
     final window is reported too; the result is read back from ``out_path``.
     """
-    src = (spark.readStream.schema(schema).parquet(source_glob).filter(failure_filter))
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+           .parquet(source_dir).filter(failure_filter))
     windows = stream_failure_windows(src, ts_col)
 
     def sink(batch: DataFrame, _batch_id: int) -> None:
