@@ -16,10 +16,11 @@ aggregate, which keeps the left-join semantics exact:
 - team mart: the spine is the pass rows per (match, team, home, away);
   the other types join on (match, team).
 
-The small aggregate is hash-partitioned once on the join key, so all the
-left joins are co-partitioned (no further exchange) and AQE may broadcast
-them when small. A hot key (say a third of all events in one match) costs
-nothing extra: partial aggregation emits one row per key per map task.
+The star is re-formed from that one small aggregate by grouping it once
+more on the join key and exploding the short per-key lists (no self-join,
+so the optimizer cannot split the aggregate into one copy per branch). A
+hot key (say a third of all events in one match) costs nothing extra:
+partial aggregation emits one row per key per map task.
 """
 
 from __future__ import annotations
@@ -39,6 +40,11 @@ def _is(t: str) -> Column:
     return F.col("event_type") == F.lit(t)
 
 
+def _has(count_field: str):
+    """Array-filter predicate: entries whose count field is positive."""
+    return lambda x: x[count_field] > 0
+
+
 def _fixed_total(col: Column) -> Column:
     """Integer (fixed-point) sum kept unrounded so it can be re-aggregated."""
     return F.sum(to_fixed(col))
@@ -112,17 +118,28 @@ def _player_final(joined: DataFrame) -> DataFrame:
 
 
 def mart_player_performance(events: DataFrame) -> DataFrame:
-    """M1, exact star semantics (spine of players; joins on match and player)."""
-    agg = player_aggregates(events).repartition("match_id", "player_name")
+    """M1, exact star semantics (spine of players; joins on match and player).
+
+    The per-(match, team, player) aggregate is grouped once more by (match,
+    player); each group holds one entry per team that used the name in the
+    match (home, away, at most a null team), so the collected lists are
+    bounded by the teams of one match. Exploding spine x passes x shots x
+    dribbles per group reproduces the left-join star, fan-out included,
+    without a self-join: one scan of the events, two exchanges (the second
+    one over the small aggregate).
+    """
     key = ["match_id", "player_name"]
-    spine = agg.filter(F.col("player_name").isNotNull()).select("match_id", "team_name", "player_name")
-    passes = agg.filter(F.col("total_passes") > 0).select(*key, *_PASS_METRICS)
-    shots = agg.filter(F.col("total_shots") > 0).select(*key, *_SHOT_METRICS)
-    dribbles = agg.filter(F.col("total_dribbles") > 0).select(*key, *_DRIBBLE_METRICS)
-    joined = (spine.join(passes, key, "left")
-                   .join(shots, key, "left")
-                   .join(dribbles, key, "left"))
-    return _player_final(joined)
+    agg = player_aggregates(events).filter(F.col("player_name").isNotNull())
+    metrics = [c for c in agg.columns if c not in ("match_id", "player_name")]
+    per = agg.groupBy(*key).agg(F.collect_list(F.struct(*metrics)).alias("rows"))
+    star = per.select(*key, "rows", F.explode("rows").alias("s"))
+    for side, n in (("pa", "total_passes"), ("sh", "total_shots"), ("dr", "total_dribbles")):
+        star = star.select("*", F.explode_outer(F.filter("rows", _has(n))).alias(side))
+    cols = [F.col("match_id"), F.col("s.team_name").alias("team_name"), F.col("player_name")]
+    cols += [F.col(f"pa.{c}").alias(c) for c in _PASS_METRICS]
+    cols += [F.col(f"sh.{c}").alias(c) for c in _SHOT_METRICS]
+    cols += [F.col(f"dr.{c}").alias(c) for c in _DRIBBLE_METRICS]
+    return _player_final(star.select(*cols))
 
 
 def mart_player_single_pass(events: DataFrame) -> DataFrame:
@@ -177,27 +194,42 @@ def team_aggregates(events: DataFrame) -> DataFrame:
 def mart_team_summary(events: DataFrame) -> DataFrame:
     """M2, exact star semantics: spine = pass groups; others join on (match, team).
 
-    The per-(match, team) side tables re-aggregate the small aggregate; it is
-    partitioned on (match, team) once, so that re-aggregation and every join
-    reuse the same partitioning.
+    The per-(match, team, home, away) aggregate is grouped once more by
+    (match, team): the pass rows of the group are the spine (kept as a short
+    list, one entry per home/away pairing of the match) and the shot,
+    dribble and pressure sums are what the (match, team) side tables of the
+    star hold. A null key never matches in the star, so its side metrics
+    are null (then 0) here too. One scan, two exchanges.
     """
     key = ["match_id", "team_name"]
-    agg = team_aggregates(events).repartition(*key)
-    spine = agg.filter(F.col("total_passes") > 0).select(
-        *key, "home_team", "away_team", "total_passes", "completed_passes",
-        round_half(_from_fixed(F.col("pass_length_fx"), F.col("pass_length_n")), 2).alias("avg_pass_length"),
-        "crosses", "through_balls", "assists")
-    shots = (agg.filter(F.col("total_shots") > 0).groupBy(*key).agg(
-        F.sum("total_shots").alias("total_shots"), F.sum("goals").alias("goals"),
-        F.sum("shots_saved").alias("shots_saved"),
-        round_half(_from_fixed(F.sum("shot_xg_fx")), 3).alias("total_xg"),
-        F.sum("one_on_ones").alias("one_on_ones")))
-    dribbles = (agg.filter(F.col("total_dribbles") > 0).groupBy(*key).agg(
-        F.sum("total_dribbles").alias("total_dribbles"),
-        F.sum("successful_dribbles").alias("successful_dribbles")))
-    pressures = (agg.filter(F.col("total_pressures") > 0).groupBy(*key).agg(
-        F.sum("total_pressures").alias("total_pressures")))
-    joined = (spine.join(shots, key, "left").join(dribbles, key, "left").join(pressures, key, "left"))
+    agg = team_aggregates(events)
+    spine_cols = ["home_team", "away_team", "total_passes", "completed_passes", "crosses",
+                  "through_balls", "assists", "pass_length_fx", "pass_length_n"]
+    side_sums = ["total_shots", "goals", "shots_saved", "shot_xg_fx", "one_on_ones",
+                 "total_dribbles", "successful_dribbles", "total_pressures"]
+    per = agg.groupBy(*key).agg(
+        F.collect_list(F.struct(*spine_cols)).alias("rows"),
+        *[F.sum(c).alias(c) for c in side_sums])
+    spine = per.select("*", F.explode(F.filter("rows", lambda x: x["total_passes"] > 0)).alias("p"))
+    joinable = F.col("match_id").isNotNull() & F.col("team_name").isNotNull()
+
+    def side(value, present):
+        return F.when(joinable & present, value)
+
+    has_shots = F.col("total_shots") > 0
+    has_dribbles = F.col("total_dribbles") > 0
+    joined = spine.select(
+        *key, "p.home_team", "p.away_team", "p.total_passes", "p.completed_passes",
+        round_half(_from_fixed(F.col("p.pass_length_fx"), F.col("p.pass_length_n")), 2).alias("avg_pass_length"),
+        "p.crosses", "p.through_balls", "p.assists",
+        side(F.col("total_shots"), has_shots).alias("total_shots"),
+        side(F.col("goals"), has_shots).alias("goals"),
+        side(F.col("shots_saved"), has_shots).alias("shots_saved"),
+        side(round_half(_from_fixed(F.col("shot_xg_fx")), 3), has_shots).alias("total_xg"),
+        side(F.col("one_on_ones"), has_shots).alias("one_on_ones"),
+        side(F.col("total_dribbles"), has_dribbles).alias("total_dribbles"),
+        side(F.col("successful_dribbles"), has_dribbles).alias("successful_dribbles"),
+        side(F.col("total_pressures"), F.col("total_pressures") > 0).alias("total_pressures"))
     doubles = {"avg_pass_length", "total_xg"}
     out = []
     for c in TEAM_COLUMNS:

@@ -9,15 +9,31 @@ from ..operators.staging import to_raw_names
 from ..schema import NAMED_FIELDS, NESTED_GROUPS
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
+def rebalanced(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Cluster rows by the output partition key before a partitioned write.
+
+    Without it every task writes one file per key it happens to hold
+    (tasks x keys small files). The ``rebalance`` hint is an AQE shuffle:
+    small keys are coalesced into one task and a hot key (say a third of all
+    rows in one match) is split over several tasks, so no task takes a
+    whole hot key.
+    """
+    return df.hint("rebalance", *cols)
+
+
+def write_partitioned(df: DataFrame, path: str, partition_cols: list[str] | None = None,
+                      rebalance: bool = False) -> None:
     """Overwrite only the partitions present in ``df`` (idempotent per key).
 
     A rerun of the same matches replaces exactly those matches; other
-    partitions are untouched.
+    partitions are untouched. ``rebalance`` when a task holds rows of many
+    keys (line-per-event input); an input that is already one key per task
+    (one match file per task) needs no shuffle.
     """
     cols = partition_cols or ["match_id"]
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*cols).parquet(path))
+    out = rebalanced(df, cols) if rebalance else df
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*cols).parquet(path))
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -54,10 +70,12 @@ def to_nested(staged: DataFrame) -> DataFrame:
     return raw.select(*top)
 
 
-def export_events_json(df: DataFrame, path: str, nested: bool = True) -> None:
+def export_events_json(df: DataFrame, path: str, nested: bool = True, rebalance: bool = False) -> None:
     """JSON lines, one folder per match (``match_id=<id>/``); nulls written as
     JSON null. Splittable on read, and no match is ever gathered into one row
-    or one task."""
+    or one task. ``rebalance`` clusters by match first (fewer files when the
+    input tasks each hold rows of many matches)."""
     out = to_nested(df) if nested else df
+    out = rebalanced(out, ["match_id"]) if rebalance else out
     (out.write.mode("overwrite").option("ignoreNullFields", "false")
         .partitionBy("match_id").json(path))
