@@ -50,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        # local runs and tests only: a cluster always names a shared folder
         current = tempfile.mkdtemp(prefix="pitchside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     jsc = spark.sparkContext._jsc.sc()
