@@ -3,7 +3,7 @@
 Rules are plain dataclasses; checks are aggregates:
 
 - every not-null and accepted-values rule of one table is evaluated in ONE
-  aggregate pass (one ``count_if`` per rule, partial aggregation map-side);
+  aggregate pass (``count_if`` / distinct failing values per rule);
 - a unique rule is one ``groupBy(col)`` on the non-null values (the only
   rule that must shuffle its column);
 - row-level violations (lazy validation, Q7) are one scan: each row builds
@@ -102,18 +102,23 @@ def run_checks(df: DataFrame, rules: list[Rule], model: str) -> DataFrame:
     duplicated values.
     """
     parts: list[DataFrame] = []
-    row_rules = [r for r in rules if r.kind == "not_null"]
+    row_rules = [r for r in rules if r.kind in ("not_null", "accepted_values")]
     if row_rules:
-        agg = df.agg(*[F.count_if(r.failed()).alias(f"r{i}") for i, r in enumerate(row_rules)])
+        # every row rule of the table in ONE aggregate pass
+        def measure(r: Rule) -> Column:
+            if r.kind == "not_null":
+                return F.count_if(r.failed())
+            # accepted values: number of distinct failing values (a failing null counts once)
+            c = F.col(r.column)
+            distinct_bad = F.count_distinct(F.when(r.failed(), c))
+            null_bad = F.max(F.when(r.failed() & c.isNull(), 1).otherwise(0))
+            return distinct_bad + null_bad
+
+        agg = df.agg(*[measure(r).alias(f"r{i}") for i, r in enumerate(row_rules)])
         stack = ", ".join(f"'{r.column}', '{r.kind}', r{i}" for i, r in enumerate(row_rules))
         parts.append(agg.selectExpr(f"stack({len(row_rules)}, {stack}) as (column_name, test, failures)"))
     for r in rules:
-        if r.kind == "accepted_values":
-            bad = (df.filter(r.failed()).select(r.column).distinct()
-                     .agg(F.count(F.lit(1)).alias("failures")))
-            parts.append(bad.select(F.lit(r.column).alias("column_name"),
-                                    F.lit(r.kind).alias("test"), "failures"))
-        elif r.kind == "unique":
+        if r.kind == "unique":
             dups = (df.filter(F.col(r.column).isNotNull()).groupBy(r.column).count()
                       .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
             parts.append(dups.select(F.lit(r.column).alias("column_name"),
