@@ -48,13 +48,9 @@ class BatchResult:
 
 def typed_events(events: DataFrame, core_only: bool = False) -> DataFrame:
     """Exploded raw rows -> typed raw-named columns + per-row key/raw flags."""
-    v = F.col("value")
-    cols = ["unit", "match_id", "version", "corrupt", v.isNotNull().alias("_has_value")]
     wanted = [(r, t) for r, t in _RAW_TYPES if not core_only or r in CORE_COLUMNS]
-    cols += [R.extract(v, r, t).alias(r) for r, t in wanted]
-    cols += [R.raw_present(v, c).alias(f"_raw_{c}") for c in _TYPE_CHECKED]
-    cols += [F.coalesce(R.present(v, k), F.lit(False)).alias(f"_has_{k}") for k in REQUIRED_KEYS]
-    return events.select(*cols)
+    keys = list(dict.fromkeys(REQUIRED_KEYS + _TYPE_CHECKED))
+    return R.typed_columns(events.select("unit", "match_id", "version", "corrupt", "value"), wanted, keys)
 
 
 def _staged_output(accepted: DataFrame, matches: DataFrame | None, core_only: bool) -> DataFrame:

@@ -80,47 +80,11 @@ def explode_events(files: DataFrame, layout: str = "array") -> DataFrame:
                        F.posexplode_outer(arr).alias("pos", "value"))
 
 
-def _paths(raw_name: str) -> list[str]:
-    """JSON paths that can hold a raw column: flat key, then nested group key."""
-    paths = [f"$.{raw_name}"]
-    group, _, rest = raw_name.partition("_")
-    if rest and group in NESTED_GROUPS:
-        paths.append(f"$.{group}.{rest}")
-    return paths
-
-
-def _typed(value: Column, path: str, dtype: str, named: bool) -> Column:
-    if dtype == "string":
-        text = F.try_variant_get(value, path, "string")
-        if not named:
-            return text
-        name = F.try_variant_get(value, path + ".name", "string")
-        # an object arrives as its JSON text: take its name (or null), never the text
-        return F.when(text.startswith("{"), name).otherwise(text)
-    return F.try_variant_get(value, path, dtype)
-
-
-def extract(value: Column, raw_name: str, dtype: str) -> Column:
-    """Typed value of a raw column from either event shape (null when absent/ill-typed)."""
-    named = raw_name in NAMED_FIELDS
-    cands = [_typed(value, p, dtype, named) for p in _paths(raw_name)]
-    return cands[0] if len(cands) == 1 else F.coalesce(*cands)
-
-
 def present(value: Column, raw_name: str) -> Column:
     """The key exists in the record (a JSON null counts as present)."""
     return F.variant_get(value, f"$.{raw_name}", "variant").isNotNull()
 
 
-def raw_present(value: Column, raw_name: str) -> Column:
-    """A non-null JSON value exists at one of the paths of the column."""
-    c = [F.try_variant_get(value, p, "string").isNotNull() for p in _paths(raw_name)]
-    out = c[0]
-    for x in c[1:]:
-        out = out | x
-    return out
-
-
 def file_facts(events: DataFrame, required: list[str] = REQUIRED_KEYS) -> DataFrame:
     """One row per source file: corrupt, event count and required-key presence.
 
@@ -155,3 +119,52 @@ def file_rejections(facts: DataFrame, required: list[str] = REQUIRED_KEYS) -> Da
     return (facts.select("unit", "match_id", F.explode(failed).alias("r"))
                  .select("unit", "match_id", "r.rule", "r.column_name",
                          F.lit(None).cast("string").alias("value")))
+
+
+def _read(node: Column, path: str, dtype: str, named: bool) -> Column:
+    """Typed value at ``path`` of ``node``; a named field reads ``.name`` of an
+    object, the text of a string, and null for an object without a name."""
+    if dtype == "string" and named:
+        name_path = "$.name" if path == "$" else f"{path}.name"
+        text = F.try_variant_get(node, path, "string")
+        # the text branch only runs when there is no name (flat shape or no value)
+        return F.coalesce(F.try_variant_get(node, name_path, "string"),
+                          F.when(~text.startswith("{"), text))
+    return F.try_variant_get(node, path, dtype)
+
+
+def typed_columns(events: DataFrame, wanted: list[tuple[str, str]], keys: list[str]) -> DataFrame:
+    """Typed raw columns of exploded events, both shapes, few lookups per row.
+
+    First projection: each detail group (``pass``, ``shot``, ...) and each
+    checked top-level key is taken once as a sub-variant. Second
+    projection: every column is read from its group's sub-variant when the
+    group object exists (nested shape) or from the flat key otherwise; names
+    come from ``.name`` without turning objects into JSON text. Adds
+    ``_has_<k>`` (key present, JSON null included) and ``_raw_<k>`` (a
+    non-null value present) for ``keys``.
+    """
+    v = F.col("value")
+    groups = sorted({r.partition("_")[0] for r, _ in wanted
+                     if r.partition("_")[2] and r.partition("_")[0] in NESTED_GROUPS})
+    subs = [F.variant_get(v, f"$.{g}", "variant").alias(f"_g_{g}") for g in groups]
+    subs += [F.variant_get(v, f"$.{k}", "variant").alias(f"_k_{k}") for k in keys]
+    inner = events.select("*", *subs)
+    cols = [c for c in events.columns if c != "value"] + [v.isNotNull().alias("_has_value")]
+    for raw, dtype in wanted:
+        group, _, rest = raw.partition("_")
+        named = raw in NAMED_FIELDS
+        if raw in keys:
+            val = _read(F.col(f"_k_{raw}"), "$", dtype, named)
+        elif rest and group in groups:
+            g = F.col(f"_g_{group}")
+            val = F.when(g.isNotNull(), _read(g, f"$.{rest}", dtype, named)).otherwise(
+                _read(v, f"$.{raw}", dtype, named))
+        else:
+            val = _read(v, f"$.{raw}", dtype, named)
+        cols.append(val.alias(raw))
+    for k in keys:
+        node = F.col(f"_k_{k}")
+        cols.append(node.isNotNull().alias(f"_has_{k}"))
+        cols.append((node.isNotNull() & ~F.is_variant_null(node)).alias(f"_raw_{k}"))
+    return inner.select(*cols)
