@@ -41,10 +41,13 @@ def match_events(spark: SparkSession, sf_dir: str, variant: str = "me") -> DataF
         F.expr(f"event_id div {EVENTS_PER_MATCH}").alias("match_id"),
         (F.col("event_id") % EVENTS_PER_MATCH).alias("seq"),
     )
-    home = broadcast_if_small(nation.select(F.col("n_nationkey").alias("hk"), F.col("n_name").alias("home_team")))
-    away = broadcast_if_small(nation.select(F.col("n_nationkey").alias("ak"), F.col("n_name").alias("away_team")))
-    m = (e.join(home, F.col("hk") == F.col("match_id") % N_NATIONS)
-          .join(away, F.col("ak") == (F.col("match_id") + 7) % N_NATIONS))
+    # one broadcast of the 25-row dimension serves both lookups (same plan, reused exchange)
+    home = broadcast_if_small(nation).alias("h")
+    away = broadcast_if_small(nation).alias("a")
+    m = (e.join(home, F.col("h.n_nationkey") == F.col("match_id") % N_NATIONS)
+          .join(away, F.col("a.n_nationkey") == (F.col("match_id") + 7) % N_NATIONS)
+          .select(*[F.col(c) for c in e.columns], F.col("h.n_name").alias("home_team"),
+                  F.col("a.n_name").alias("away_team")))
 
     k, seq, uid = F.col("k"), F.col("seq"), F.col("user_id")
     et = F.col("et")

@@ -18,6 +18,7 @@ micro-batch of the file stream) and
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -69,9 +70,14 @@ def _staged_output(accepted: DataFrame, matches: DataFrame | None, core_only: bo
 
 
 def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, layout: str = "array",
-                 batch_id: int = 0, matches: DataFrame | None = None, max_files: int | None = None,
-                 core_only: bool = False) -> BatchResult:
-    """Validate and write one batch of raw files; returns the batch counts."""
+                 batch_key: str | None = None, matches: DataFrame | None = None,
+                 max_files: int | None = None, core_only: bool = False) -> BatchResult:
+    """Validate and write one batch of raw files; returns the batch counts.
+
+    ``batch_key`` names the batch in the quarantine table; a retry must pass
+    the same key (a stream passes its micro-batch id) so it replaces its rows.
+    """
+    batch_key = batch_key or f"run-{uuid.uuid4().hex[:16]}"
     events = R.explode_events(raw_rows, layout)
     # the typed rows feed the facts, the rules and the write: computed once
     typed = typed_events(events, core_only).persist(StorageLevel.MEMORY_AND_DISK)
@@ -87,10 +93,10 @@ def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, l
         bad_units = viol.select("unit").unionByName(stale).distinct()
 
         accepted, _ = Q.split_by_file(rows, bad_units, file_col="unit", max_files=max_files)
-        obs = Observation(f"ingest_{batch_id}")
+        obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
         out = _staged_output(accepted, matches, core_only).observe(obs, F.count(F.lit(1)).alias("rows"))
         write_partitioned(out, processed_dir, ["match_id"])
-        write_quarantine(viol, quarantine_dir, batch_id)
+        write_quarantine(viol, quarantine_dir, batch_key)
 
         counts = facts.agg(F.count(F.lit(1)).alias("files")).first()
         n_bad = bad_units.count()
@@ -106,4 +112,4 @@ def ingest_files(spark, raw_dir: str, processed_dir: str, quarantine_dir: str, l
     """Batch entry: ingest every ``*.json`` below ``raw_dir`` (recursively)."""
     rows = R.read_raw_files(spark, raw_dir, layout)
     n_files = len(rows.inputFiles())  # file listing only (driver metadata), bounds the bad-file set
-    return ingest_batch(rows, processed_dir, quarantine_dir, layout, 0, matches, n_files, core_only)
+    return ingest_batch(rows, processed_dir, quarantine_dir, layout, None, matches, n_files, core_only)

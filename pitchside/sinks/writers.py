@@ -41,11 +41,15 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_quarantine(violations: DataFrame, path: str, batch_id: int) -> None:
-    """Append the failures of a batch, stamped with batch id and ingest time."""
-    (violations.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-               .withColumn("ingested_at", F.current_timestamp())
-               .write.mode("append").parquet(path))
+def write_quarantine(violations: DataFrame, path: str, batch_key: str) -> None:
+    """Write the failures of one batch into its own ``batch=<key>`` partition.
+
+    Dynamic overwrite makes a retried batch (same key) replace its own rows
+    instead of appending them twice; other batches are untouched.
+    """
+    out = (violations.withColumn("ingested_at", F.current_timestamp())
+                     .withColumn("batch", F.lit(batch_key)))
+    write_partitioned(out, path, ["batch"])
 
 
 def _named(c: Column) -> Column:

@@ -15,6 +15,7 @@ new file name (``match_<id>__v<n>.json``).
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,9 +49,13 @@ def start_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, q
     run = run if run is not None else StreamRun()
     rows = read_raw_files(spark, raw_dir, layout, stream=True, max_files_per_trigger=max_files_per_trigger)
 
+    stream_name = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        run.batches.append(ingest_batch(batch, processed_dir, quarantine_dir, layout, batch_id,
-                                        matches, max_files=max_files_per_trigger))
+        # same checkpoint + same batch id on a retry -> same quarantine partition
+        run.batches.append(ingest_batch(batch, processed_dir, quarantine_dir, layout,
+                                        f"{stream_name}-{batch_id:08d}", matches,
+                                        max_files=max_files_per_trigger))
 
     w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:

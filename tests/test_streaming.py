@@ -62,3 +62,29 @@ def test_stream_alarm_equals_batch(spark):
     assert batch.count() == stream.count() > 0
     assert batch.exceptAll(stream).count() == 0
     assert stream.filter(~F.col("alarm")).count() == 0
+
+
+def test_pipeline_audit_mode_keeps_failed_marts_unpublished(spark):
+    from pitchside.fixtures import matches_dim
+    from pitchside.plans.pipeline import PipelineConfig, run_pipeline
+    ev = match_events(spark, SF0001, "dirty")
+    cfg = PipelineConfig(root=scratch_path(spark, "audit"), max_matches=None, publish="after_tests")
+    row = run_pipeline(spark, ev, matches_dim(ev), cfg).first()
+    assert row.ingested == 2 and row.processed + row.missing == 2
+    published = os.path.exists(os.path.join(cfg.root, "warehouse", "mart_team_summary"))
+    assert published == (row.transform_status == "success")
+    assert spark.table("stg_events").count() == row.events_loaded
+
+
+def test_quarantine_rerun_replaces_its_batch(spark):
+    from pitchside.plans.ingest import ingest_batch
+    from pitchside.sources.raw_json import read_raw_files
+    root = scratch_path(spark, "qrerun")
+    raw = os.path.join(root, "raw")
+    os.makedirs(raw)
+    with open(os.path.join(raw, "match_3.json"), "w") as f:
+        json.dump([_flat(1, period=9)], f)
+    for _ in range(2):  # a retried batch with the same key
+        ingest_batch(read_raw_files(spark, raw), os.path.join(root, "p"), os.path.join(root, "q"),
+                     batch_key="b-1")
+    assert spark.read.parquet(os.path.join(root, "q")).count() == 1
