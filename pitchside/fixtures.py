@@ -112,13 +112,17 @@ def match_events(spark: SparkSession, sf_dir: str, variant: str = "me") -> DataF
 
 
 def make_dirty(fme: DataFrame) -> DataFrame:
-    """F-DIRTY: inject rule violations into every qualifying row (no sampling)."""
+    """F-DIRTY: inject rule violations into every qualifying row (no sampling).
+
+    The duplicate of a row is generated in place (a narrow ``explode`` of a
+    one- or two-element array), so the events are scanned once.
+    """
     eid = F.col("event_id")
+    copies = F.when(eid % 3100 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     dirty = (fme.withColumn("period", F.when(eid % 1700 == 0, F.lit(9)).otherwise(F.col("period")))
                 .withColumn("team_name", F.when(eid % 2300 == 7, F.lit(None).cast("string"))
                             .otherwise(F.col("team_name"))))
-    dups = dirty.filter(eid % 3100 == 0)
-    return dirty.unionByName(dups)
+    return dirty.select("*", F.explode(copies).alias("_copy")).drop("_copy")
 
 
 def matches_dim(fme: DataFrame, competitions: DataFrame | None = None) -> DataFrame:
