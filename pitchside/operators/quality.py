@@ -165,6 +165,14 @@ def violations(df: DataFrame, rules: list[Rule], keep: list[str]) -> DataFrame:
               .select(*keep, "_v.rule", "_v.column_name", "_v.value"))
 
 
+def any_failed(rules: list[Rule]) -> Column:
+    """True when a row breaks at least one of the row rules."""
+    out = F.lit(False)
+    for r in rules:
+        out = out | F.coalesce(r.failed(), F.lit(False))
+    return out
+
+
 def rejected_files(viol: DataFrame, file_col: str = "match_id") -> DataFrame:
     """File keys with at least one violation."""
     return viol.select(file_col).distinct()

@@ -71,9 +71,15 @@ def _staged_output(accepted: DataFrame, matches: DataFrame | None, core_only: bo
 
 def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, layout: str = "array",
                  batch_key: str | None = None, matches: DataFrame | None = None,
-                 max_files: int | None = None, core_only: bool = False) -> BatchResult:
+                 max_files: int | None = None, core_only: bool = False,
+                 reject: str = "file") -> BatchResult:
     """Validate and write one batch of raw files; returns the batch counts.
 
+    ``reject="file"`` (default): one failing row rejects its whole file.
+    ``reject="row"``: only failing rows are held back (filtered inline, no
+    join); file-level failures (corrupt, empty, missing key) still reject
+    the file.
+
     ``batch_key`` names the batch in the quarantine table; a retry must pass
     the same key (a stream passes its micro-batch id) so it replaces its rows.
     """
@@ -90,7 +96,12 @@ def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, l
         # restatements: only the newest version of a match in this batch is kept
         latest = facts.groupBy("match_id").agg(F.max("version").alias("version"))
         stale = facts.join(latest, ["match_id", "version"], "left_anti").select("unit")
-        bad_units = viol.select("unit").unionByName(stale).distinct()
+        if reject == "row":
+            file_viol = R.file_rejections(facts, REQUIRED_KEYS)
+            bad_units = file_viol.select("unit").unionByName(stale).distinct()
+            rows = rows.filter(~Q.any_failed(Q.RAW_ROW_RULES))
+        else:
+            bad_units = viol.select("unit").unionByName(stale).distinct()
 
         accepted, _ = Q.split_by_file(rows, bad_units, file_col="unit", max_files=max_files)
         obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
@@ -108,8 +119,10 @@ def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, l
 
 
 def ingest_files(spark, raw_dir: str, processed_dir: str, quarantine_dir: str, layout: str = "array",
-                 matches: DataFrame | None = None, core_only: bool = False) -> BatchResult:
+                 matches: DataFrame | None = None, core_only: bool = False,
+                 reject: str = "file") -> BatchResult:
     """Batch entry: ingest every ``*.json`` below ``raw_dir`` (recursively)."""
     rows = R.read_raw_files(spark, raw_dir, layout)
     n_files = len(rows.inputFiles())  # file listing only (driver metadata), bounds the bad-file set
-    return ingest_batch(rows, processed_dir, quarantine_dir, layout, None, matches, n_files, core_only)
+    return ingest_batch(rows, processed_dir, quarantine_dir, layout, None, matches, n_files,
+                        core_only, reject)

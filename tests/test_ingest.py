@@ -124,3 +124,27 @@ def test_explode_keeps_empty_file_row(spark):
     ev = explode_events(read_raw_files(spark, root))
     rows = ev.collect()
     assert len(rows) == 1 and rows[0].value is None and rows[0].match_id == 6
+
+
+def test_row_level_rejection_keeps_good_rows(spark):
+    from pitchside.session import scratch_path
+    root = scratch_path(spark, "rowrej")
+    write_raw(root)
+    ingest_files(spark, os.path.join(root, "raw"), os.path.join(root, "p"), os.path.join(root, "q"),
+                 reject="row")
+    got = {r.match_id: r.n for r in spark.read.parquet(os.path.join(root, "p"))
+           .groupBy("match_id").agg(F.count("*").alias("n")).collect()}
+    # match_3 keeps its two good rows; match_4 has none left; file-level failures stay out
+    assert got == {1: 1, 2: 2, 3: 2, 8: 1, 9: 1}
+
+
+def test_core_only_projection(spark):
+    from pitchside.session import scratch_path
+    root = scratch_path(spark, "core")
+    write_raw(root)
+    ingest_files(spark, os.path.join(root, "raw"), os.path.join(root, "p"), os.path.join(root, "q"),
+                 core_only=True)
+    df = spark.read.parquet(os.path.join(root, "p"))
+    assert sorted(df.columns) == sorted(["id", "index", "period", "timestamp", "type", "team", "player",
+                                         "location", "match_id"])
+    assert df.count() == 5
