@@ -74,7 +74,7 @@ def to_nested(staged: DataFrame) -> DataFrame:
     return raw.select(*top)
 
 
-def export_events_json(df: DataFrame, path: str, nested: bool = True, rebalance: bool = False) -> None:
+def export_events_json(df: DataFrame, path: str, nested: bool = True, rebalance: bool = True) -> None:
     """JSON lines, one folder per match (``match_id=<id>/``); nulls written as
     JSON null. Splittable on read, and no match is ever gathered into one row
     or one task. ``rebalance`` clusters by match first (fewer files when the
