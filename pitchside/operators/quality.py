@@ -178,6 +178,10 @@ def rejected_files(viol: DataFrame, file_col: str = "match_id") -> DataFrame:
     return viol.select(file_col).distinct()
 
 
+# A file key is a path of ~100 bytes: 200k keys stay near 20 MB on every executor.
+MAX_BROADCAST_FILES = 200_000
+
+
 def split_by_file(df: DataFrame, bad_files: DataFrame, file_col: str = "match_id",
                   max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, quarantined rows): one bad row rejects its whole file.
@@ -187,7 +191,7 @@ def split_by_file(df: DataFrame, bad_files: DataFrame, file_col: str = "match_id
     ``max_files``: a bounded key set is broadcast and the row side is never
     shuffled. Otherwise the size check and AQE pick the join.
     """
-    if max_files is not None and max_files <= 1_000_000:
+    if max_files is not None and max_files <= MAX_BROADCAST_FILES:
         keys = F.broadcast(bad_files)
     else:
         keys = broadcast_if_small(bad_files)
