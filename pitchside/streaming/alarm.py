@@ -47,24 +47,39 @@ def stream_failure_windows(stream: DataFrame, ts_col: str = "ts", period: str =
     return _finish(agg)
 
 
-def run_stream_alarm(spark: SparkSession, source_dir: str, file_glob: str, schema: T.StructType | str,
-                     out_path: str, checkpoint: str, failure_filter: F.Column,
-                     ts_col: str = "ts", timeout_s: int = 600) -> DataFrame:
-    """Run the alarm as an ``availableNow`` stream over parquet files.
-
-    Complete output mode rewrites the full window table per micro-batch
-    (one row per window, bounded by the time span, not by the rows), so the
-    final window is reported too; the result is read back from ``out_path``.
+def start_stream_alarm(spark: SparkSession, source_dir: str, file_glob: str, schema: T.StructType | str,
+                       out_path: str, checkpoint: str, failure_filter: F.Column, ts_col: str = "ts",
+                       output_mode: str = "complete", available_now: bool = True,
+                       watermark: str = "10 minutes"):
+    """Start the alarm stream over parquet files; returns the StreamingQuery.
+
+    ``complete``: every micro-batch rewrites the whole window table (state
+    keeps one row per window ever seen), so a bounded run reports the last,
+    still open window too; right for ``availableNow`` runs.
+    ``append``: a window is written once, when the watermark has passed its
+    end; state is evicted, so a continuous stream keeps bounded state. The
+    file sink appends exactly once per window.
     """
     src = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
            .parquet(source_dir).filter(failure_filter))
-    windows = stream_failure_windows(src, ts_col)
+    windows = stream_failure_windows(src, ts_col, watermark=watermark)
+    w = windows.writeStream.option("checkpointLocation", checkpoint)
+    if output_mode == "append":
+        w = w.outputMode("append").format("parquet").option("path", out_path)
+    else:
+        def sink(batch: DataFrame, _batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(out_path)
+        w = w.outputMode("complete").foreachBatch(sink)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
 
-    def sink(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
 
-    q = (windows.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def run_stream_alarm(spark: SparkSession, source_dir: str, file_glob: str, schema: T.StructType | str,
+                     out_path: str, checkpoint: str, failure_filter: F.Column,
+                     ts_col: str = "ts", timeout_s: int = 600, output_mode: str = "complete") -> DataFrame:
+    """Run the alarm as an ``availableNow`` stream and read the windows back."""
+    q = start_stream_alarm(spark, source_dir, file_glob, schema, out_path, checkpoint, failure_filter,
+                           ts_col, output_mode, True)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
