@@ -110,3 +110,25 @@ def test_hubs_approximate_close_to_exact(fme):
     approx = {(r.passer_name, r.team_name): r.unique_recipients
               for r in reports.report_hubs(net, k=1000, approximate=True).collect()}
     assert exact == approx  # small distinct counts are exact in HLL++
+
+
+SIDE_EFFECT_KEYS = {"ingest_raw", "stream_ingest", "pipeline_run", "export_match_json", "stream_dlq_alarm"}
+
+
+def test_no_key_plans_a_cartesian_or_nested_loop_join(spark):
+    from pitchside.registry import QUERIES
+    for key, fn in QUERIES.items():
+        if key in SIDE_EFFECT_KEYS:
+            continue
+        plan = fn(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan, key
+        assert "NestedLoopJoin" not in plan, key
+
+
+def test_ingest_split_is_a_broadcast_anti_join(spark):
+    from pitchside.operators import quality as Q
+    ev = match_events(spark, SF0001, "dirty")
+    v = Q.violations(ev, Q.INGEST_ROW_RULES, ["match_id", "event_id"])
+    good, _ = Q.split_by_file(ev, Q.rejected_files(v), max_files=100)
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
