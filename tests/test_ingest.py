@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pitchside.plans.ingest import ingest_files
 from pitchside.sources.raw_json import explode_events, read_raw_files
 
-NESTED = {"id": "abc123", "index": 1, "period": 1, "timestamp": "00:00:01.000",
-          "type": {"name": "Pass"}, "team": {"name": "Inter Miami CF"},
-          "player": {"name": "Lionel Messi"}, "location": [60.0, 40.0]}
+NESTED = {"id": "n-0001", "index": 1, "period": 1, "timestamp": "00:00:01.000",
+          "type": {"name": "Pass"}, "team": {"name": "North United"},
+          "player": {"name": "Avery Stone"}, "location": [52.5, 31.0]}
 
 
 def flat(i, **kw):
@@ -69,8 +69,8 @@ def test_accepted_matches(ingested):
 def test_nested_shape_flattened(ingested):
     _, processed, _ = ingested
     row = processed.filter("match_id = 1").first()
-    assert (row.event_type, row.team_name, row.player_name) == ("Pass", "Inter Miami CF", "Lionel Messi")
-    assert list(row.location) == [60.0, 40.0]
+    assert (row.event_type, row.team_name, row.player_name) == ("Pass", "North United", "Avery Stone")
+    assert list(row.location) == [52.5, 31.0]
 
 
 def test_rejections_reported_lazily(ingested):
