@@ -26,8 +26,12 @@ def _as_timestamp(col: str) -> F.Column:
 
 
 def failure_windows(failures: DataFrame, ts_col: str = "ts", period: str = PERIOD) -> DataFrame:
-    """Batch: one row per non-empty window with its failure count and alarm flag."""
-    w = failures.select(F.window(_as_timestamp(ts_col), period).alias("w"))
+    """Batch: one row per non-empty window with its failure count and alarm flag.
+
+    Windows are taken on the column as it is (a TIMESTAMP_NTZ stays in wall
+    time), so the result does not depend on the session time zone.
+    """
+    w = failures.select(F.window(F.col(ts_col), period).alias("w"))
     agg = w.groupBy("w").agg(F.count(F.lit(1)).alias("n_failures"))
     return _finish(agg)
 
