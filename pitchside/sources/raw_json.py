@@ -133,38 +133,55 @@ def _read(node: Column, path: str, dtype: str, named: bool) -> Column:
     return F.try_variant_get(node, path, dtype)
 
 
+def _struct_ddl(fields: list[tuple[str, str]]) -> str:
+    return "struct<" + ", ".join(f"`{n}`: {t}" for n, t in fields) + ">"
+
+
 def typed_columns(events: DataFrame, wanted: list[tuple[str, str]], keys: list[str]) -> DataFrame:
-    """Typed raw columns of exploded events, both shapes, few lookups per row.
-
-    First projection: each detail group (``pass``, ``shot``, ...) and each
-    checked top-level key is taken once as a sub-variant. Second
-    projection: every column is read from its group's sub-variant when the
-    group object exists (nested shape) or from the flat key otherwise; names
-    come from ``.name`` without turning objects into JSON text. Adds
-    ``_has_<k>`` (key present, JSON null included) and ``_raw_<k>`` (a
-    non-null value present) for ``keys``.
+    """Typed raw columns of exploded events, both shapes, from ONE cast per record.
+
+    The whole event object is cast once to a struct holding every flat
+    column and every detail group (an ill-typed field becomes null, the rest
+    of the record survives). Fields with two shapes (``{name}`` objects or
+    plain text) and the checked keys are cast to VARIANT and resolved from
+    that small value; an absent key is SQL NULL, a JSON null a variant null.
+    A detail group read from its object when present (nested shape), else
+    from the flat key. Adds ``_has_<k>`` (key present, JSON null included)
+    and ``_raw_<k>`` (a non-null value present) for ``keys``.
     """
     v = F.col("value")
-    groups = sorted({r.partition("_")[0] for r, _ in wanted
-                     if r.partition("_")[2] and r.partition("_")[0] in NESTED_GROUPS})
-    subs = [F.variant_get(v, f"$.{g}", "variant").alias(f"_g_{g}") for g in groups]
-    subs += [F.variant_get(v, f"$.{k}", "variant").alias(f"_k_{k}") for k in keys]
-    inner = events.select("*", *subs)
-    cols = [c for c in events.columns if c != "value"] + [v.isNotNull().alias("_has_value")]
+    top: list[tuple[str, str]] = []
+    groups: dict[str, list[tuple[str, str]]] = {}
     for raw, dtype in wanted:
-        group, _, rest = raw.partition("_")
         named = raw in NAMED_FIELDS
+        group, _, rest = raw.partition("_")
+        top.append((raw, "variant" if (named or raw in keys) else dtype))
+        if rest and group in NESTED_GROUPS:
+            groups.setdefault(group, []).append((rest, "variant" if named else dtype))
+    have = {n for n, _ in top}
+    top += [(k, "variant") for k in keys if k not in have]
+    top += [(g, _struct_ddl(fs)) for g, fs in groups.items()]
+    inner = events.select("*", F.try_variant_get(v, "$", _struct_ddl(top)).alias("_r"))
+
+    def field(c: Column, raw: str, dtype: str) -> Column:
+        if raw in NAMED_FIELDS and dtype == "string":
+            return _read(c, "$", dtype, True)
         if raw in keys:
-            val = _read(F.col(f"_k_{raw}"), "$", dtype, named)
-        elif rest and group in groups:
-            g = F.col(f"_g_{group}")
-            val = F.when(g.isNotNull(), _read(g, f"$.{rest}", dtype, named)).otherwise(
-                _read(v, f"$.{raw}", dtype, named))
+            return F.try_variant_get(c, "$", dtype)
+        return c
+
+    cols = [c for c in events.columns if c != "value"] + [v.isNotNull().alias("_has_value")]
+    for raw, dtype in wanted:
+        group, _, rest = raw.partition("_")
+        flat = field(F.col(f"_r.`{raw}`"), raw, dtype)
+        if rest and group in groups:
+            g = F.col(f"_r.`{group}`")
+            val = F.when(g.isNotNull(), field(g.getField(rest), raw, dtype)).otherwise(flat)
         else:
-            val = _read(v, f"$.{raw}", dtype, named)
+            val = flat
         cols.append(val.alias(raw))
     for k in keys:
-        node = F.col(f"_k_{k}")
+        node = F.col(f"_r.`{k}`")
         cols.append(node.isNotNull().alias(f"_has_{k}"))
         cols.append((node.isNotNull() & ~F.is_variant_null(node)).alias(f"_raw_{k}"))
     return inner.select(*cols)
