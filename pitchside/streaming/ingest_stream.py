@@ -44,7 +44,8 @@ class StreamRun:
 def start_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, quarantine_dir: str,
                         checkpoint: str, layout: str = "array", max_files_per_trigger: int = 1000,
                         matches: DataFrame | None = None, available_now: bool = True,
-                        processing_time: str | None = None, run: StreamRun | None = None):
+                        processing_time: str | None = None, run: StreamRun | None = None,
+                        core_only: bool = False, reject: str = "file"):
     """Start the ingest query; returns the StreamingQuery."""
     run = run if run is not None else StreamRun()
     rows = read_raw_files(spark, raw_dir, layout, stream=True, max_files_per_trigger=max_files_per_trigger)
@@ -55,7 +56,8 @@ def start_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, q
         # same checkpoint + same batch id on a retry -> same quarantine partition
         run.batches.append(ingest_batch(batch, processed_dir, quarantine_dir, layout,
                                         f"{stream_name}-{batch_id:08d}", matches,
-                                        max_files=max_files_per_trigger))
+                                        max_files=max_files_per_trigger, core_only=core_only,
+                                        reject=reject))
 
     w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:
@@ -67,12 +69,13 @@ def start_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, q
 
 def run_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, quarantine_dir: str,
                       checkpoint: str, layout: str = "array", max_files_per_trigger: int = 1000,
-                      matches: DataFrame | None = None, timeout_s: int = 900) -> StreamRun:
+                      matches: DataFrame | None = None, timeout_s: int = 900,
+                      core_only: bool = False, reject: str = "file") -> StreamRun:
     """Process every file present now and wait for it: a real barrier in
     place of a fixed sleep (T5)."""
     run = StreamRun()
     q = start_ingest_stream(spark, raw_dir, processed_dir, quarantine_dir, checkpoint, layout,
-                            max_files_per_trigger, matches, True, None, run)
+                            max_files_per_trigger, matches, True, None, run, core_only, reject)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()

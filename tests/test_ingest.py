@@ -148,3 +148,17 @@ def test_core_only_projection(spark):
     assert sorted(df.columns) == sorted(["id", "index", "period", "timestamp", "type", "team", "player",
                                          "location", "match_id"])
     assert df.count() == 5
+
+
+def test_large_backfill_runs_in_bounded_batches(spark):
+    from pitchside.session import scratch_path
+    root = scratch_path(spark, "backfill")
+    write_raw(root)
+    small = ingest_files(spark, os.path.join(root, "raw"), os.path.join(root, "p1"), os.path.join(root, "q1"))
+    big = ingest_files(spark, os.path.join(root, "raw"), os.path.join(root, "p2"), os.path.join(root, "q2"),
+                       max_files_per_batch=3)
+    assert (big.files, big.rejected_files, big.accepted_rows) == (small.files, small.rejected_files,
+                                                                  small.accepted_rows)
+    a = spark.read.parquet(os.path.join(root, "p1"))
+    b = spark.read.parquet(os.path.join(root, "p2"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
