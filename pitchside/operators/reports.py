@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import exact_mean, fixed_sum, round_half
+from ..functions.metrics import FIXED_SCALE, exact_mean, fixed_sum, round_half, to_fixed
 
 
 def _top(df: DataFrame, by: str, keys: list[str], k: int) -> DataFrame:
@@ -70,17 +70,29 @@ def report_pass_combinations(network: DataFrame, k: int = 15) -> DataFrame:
 def report_hubs(network: DataFrame, k: int = 10, approximate: bool = False) -> DataFrame:
     """Players with the most distinct recipients (out-degree).
 
-    ``approximate`` swaps the exact distinct count (an extra expand + shuffle
-    of distinct pairs) for a HyperLogLog++ sketch merged map-side.
+    Exact form: two plain aggregations instead of a distinct aggregate (which
+    would expand every row): first per (passer, team, recipient), carrying
+    pass totals and the integer sum and count of the completion rates, then
+    per (passer, team), where counting the non-null recipient keys is the
+    distinct count and the carried sums give the unweighted mean over all
+    network rows. ``approximate`` uses a HyperLogLog++ sketch in one pass.
     """
     keys = ["passer_name", "team_name"]
-    degree = (F.approx_count_distinct("recipient_name") if approximate
-              else F.count_distinct("recipient_name"))
-    agg = network.groupBy(*keys).agg(
-        degree.alias("unique_recipients"),
-        F.sum("total_passes").alias("total_passes_made"),
-        round_half(exact_mean("completion_pct"), 1).alias("avg_completion_pct"),
-    )
+    if approximate:
+        agg = network.groupBy(*keys).agg(
+            F.approx_count_distinct("recipient_name").alias("unique_recipients"),
+            F.sum("total_passes").alias("total_passes_made"),
+            round_half(exact_mean("completion_pct"), 1).alias("avg_completion_pct"))
+        return _top(agg, "unique_recipients", keys, k)
+    pct = F.col("completion_pct")
+    pairs = network.groupBy(*keys, "recipient_name").agg(
+        F.sum("total_passes").alias("passes"),
+        F.sum(to_fixed(pct)).alias("pct_fx"),
+        F.count(pct).alias("pct_n"))
+    agg = pairs.groupBy(*keys).agg(
+        F.count("recipient_name").alias("unique_recipients"),
+        F.sum("passes").alias("total_passes_made"),
+        round_half(F.sum("pct_fx") / F.sum("pct_n") / F.lit(10.0 ** FIXED_SCALE), 1).alias("avg_completion_pct"))
     return _top(agg, "unique_recipients", keys, k)
 
 
