@@ -132,3 +132,13 @@ def test_ingest_split_is_a_broadcast_anti_join(spark):
     good, _ = Q.split_by_file(ev, Q.rejected_files(v), max_files=100)
     plan = good._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_events_of_match_prunes_partitions(spark, scratch):
+    from pitchside.sinks.writers import write_partitioned
+    from pitchside.sources.tables import events_of_match
+    write_partitioned(match_events(spark, SF0001).drop("location", "carry_end_location"), scratch)
+    df = events_of_match(spark.read.parquet(scratch), 1)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(match_id" in plan and "(match_id#" in plan
+    assert df.count() == 500 and df.filter("match_id <> 1").count() == 0
