@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import os
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import marts
 from ..operators import quality as Q
+from ..operators.joins import broadcast_if_small
+from ..operators.reports import first_n_matches, list_matches
+from ..sinks.writers import export_events_json, write_table
+from ..streaming.ingest_stream import run_ingest_stream
+from .verify import list_objects, verification_summary, verify_processed
 
 
 def build_marts(staged: DataFrame) -> dict[str, DataFrame]:
@@ -44,18 +52,6 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 # end-to-end run
 # ---------------------------------------------------------------------------
 
-import os  # noqa: E402
-from dataclasses import dataclass  # noqa: E402
-
-from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..operators.joins import broadcast_if_small  # noqa: E402
-from ..operators.reports import first_n_matches, list_matches  # noqa: E402
-from ..sinks.writers import export_events_json, write_table  # noqa: E402
-from ..streaming.ingest_stream import run_ingest_stream  # noqa: E402
-from .verify import list_objects, verification_summary, verify_processed  # noqa: E402
-
 
 @dataclass
 class PipelineConfig:
