@@ -84,3 +84,16 @@ def test_empty_manifest_rate_is_null(spark):
     from pitchside.plans.verify import verification_summary
     empty = spark.createDataFrame([], "raw_key string, processed_key string, status string, size bigint")
     assert verification_summary(empty).first().success_rate is None
+
+
+def test_listing_reads_no_file_content(spark, scratch):
+    import os
+    from pitchside.plans.verify import list_objects
+    os.makedirs(os.path.join(scratch, "processed", "match_id=4"))
+    with open(os.path.join(scratch, "processed", "match_id=4", "part-0.parquet"), "wb") as f:
+        f.write(b"x" * 123)
+    df = list_objects(spark, os.path.join(scratch, "processed"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
+    row = df.first()
+    assert row.key == "match_id=4/part-0.parquet" and row.size == 123
