@@ -162,3 +162,22 @@ def test_large_backfill_runs_in_bounded_batches(spark):
     a = spark.read.parquet(os.path.join(root, "p1"))
     b = spark.read.parquet(os.path.join(root, "p2"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stream_over_raw_fixtures_equals_batch(spark):
+    from pitchside.session import scratch_path
+    from pitchside.streaming.ingest_stream import run_ingest_stream
+    root = scratch_path(spark, "fraw_stream")
+    write_raw(root)
+    raw = os.path.join(root, "raw")
+    batch = ingest_files(spark, raw, os.path.join(root, "pb"), os.path.join(root, "qb"))
+    run = run_ingest_stream(spark, raw, os.path.join(root, "ps"), os.path.join(root, "qs"),
+                            os.path.join(root, "ck"))
+    assert (run.files, run.rejected_files, run.accepted_rows) == (batch.files, batch.rejected_files,
+                                                                  batch.accepted_rows)
+    a = spark.read.parquet(os.path.join(root, "pb"))
+    b = spark.read.parquet(os.path.join(root, "ps"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    qa = spark.read.parquet(os.path.join(root, "qb")).select("match_id", "rule", "column_name")
+    qb = spark.read.parquet(os.path.join(root, "qs")).select("match_id", "rule", "column_name")
+    assert qa.exceptAll(qb).count() == 0 and qb.exceptAll(qa).count() == 0
