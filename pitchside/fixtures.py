@@ -16,7 +16,7 @@ Variants
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.joins import broadcast_if_small
@@ -26,8 +26,50 @@ EVENTS_PER_MATCH = 500
 N_NATIONS = 25
 
 
-def _concat_num(prefix: str, num: Column) -> Column:
-    return F.concat(F.lit(prefix), num.cast("string"))
+# The staged columns as Spark SQL expressions over (seq, k, user_id, value,
+# event_type, ...): one ``selectExpr`` builds all 39 in a single call;
+# ``{n}`` is the squad size (22, or 21 for the fan-out variant).
+_FME_COLUMNS = [
+    'event_id',
+    'match_id',
+    'seq as event_index',
+    'case when seq < 250 then 1 else 2 end as period',
+    'cast(seq div 5 as int) as minute',
+    'cast(seq * 12 % 60 as int) as second',
+    "concat('00:', lpad(cast(seq % 250 div 5 as string), 2, '0'), ':', lpad(cast(seq * 12 % 60 as string), 2, '0'), '.000') as event_timestamp",
+    'home_team',
+    'away_team',
+    'event_type',
+    'team_name',
+    "case when k = 0 then null else concat('Player#', cast(user_id % {n} as string)) end as player_name",
+    'case when k = 0 then null else user_id % {n} end as player_id',
+    "concat('Position', cast(user_id % {n} div 2 as string)) as player_position",
+    "concat('Pattern', cast(k % 4 as string)) as play_pattern",
+    'case when k % 3 = 0 then true end as under_pressure',
+    "case when event_type = 'Pass' then value end as pass_length",
+    "case when event_type = 'Pass' then cast(k - 50 as double) / 16 end as pass_angle",
+    "case when event_type = 'Pass' then concat('Height', cast(k % 3 as string)) end as pass_height",
+    "case when event_type = 'Pass' then concat('Body', cast(k % 2 as string)) end as pass_body_part",
+    "case when event_type = 'Pass' and k between 75 and 89 then 'Incomplete' when event_type = 'Pass' and k >= 90 then 'Out' end as pass_outcome",
+    "case when event_type = 'Pass' and k % 7 = 0 then 'Corner' end as pass_type",
+    "case when event_type = 'Pass' and k % 10 = 1 then true end as pass_cross",
+    "case when event_type = 'Pass' and k % 20 = 7 then true end as pass_switch",
+    "case when event_type = 'Pass' and k % 25 = 3 then true end as pass_through_ball",
+    "case when event_type = 'Pass' and k % 50 = 11 then true end as pass_goal_assist",
+    "case when event_type = 'Pass' and k % 12 = 5 then true end as pass_shot_assist",
+    "case when event_type = 'Pass' and k < 90 then concat('Player#', cast((user_id + 2 + 2 * (k % 2)) % {n} as string)) end as pass_recipient_name",
+    "case when event_type = 'Shot' then value / 500 end as shot_xg",
+    "case when event_type = 'Shot' and k < 12 then 'Goal' when event_type = 'Shot' and k < 40 then 'Saved' when event_type = 'Shot' and k < 70 then 'Off T' when event_type = 'Shot' and k < 95 then 'Blocked' end as shot_outcome",
+    "case when event_type = 'Shot' then concat('Body', cast(k % 3 as string)) end as shot_body_part",
+    "case when event_type = 'Shot' then concat('Tech', cast(k % 5 as string)) end as shot_technique",
+    "case when event_type = 'Shot' then case when k % 20 = 0 then 'Penalty' else 'Open Play' end end as shot_type",
+    "case when event_type = 'Shot' and k % 4 = 0 then true end as shot_first_time",
+    "case when event_type = 'Shot' and k % 9 = 0 then true end as shot_one_on_one",
+    "case when event_type = 'Shot' and k % 33 = 0 then true end as shot_open_goal",
+    'case when k % 6 = 1 then array(cast(k as double), cast(seq % 80 as double)) end as carry_end_location',
+    "case when event_type = 'Dribble' and k < 55 then 'Complete' when event_type = 'Dribble' then 'Incomplete' end as dribble_outcome",
+    'array(cast(seq % 120 as double), cast(k % 80 as double)) as location',
+]
 
 
 def match_events(spark: SparkSession, sf_dir: str, variant: str = "me") -> DataFrame:
@@ -35,12 +77,9 @@ def match_events(spark: SparkSession, sf_dir: str, variant: str = "me") -> DataF
     ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value", "user_id", "props"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
 
-    e = ev.select(
-        "event_id", F.col("event_type").alias("et"), "value", "user_id",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.expr(f"event_id div {EVENTS_PER_MATCH}").alias("match_id"),
-        (F.col("event_id") % EVENTS_PER_MATCH).alias("seq"),
-    )
+    e = ev.selectExpr("event_id", "event_type as et", "value", "user_id",
+                      "cast(get_json_object(props, '$.k') as int) as k",
+                      f"event_id div {EVENTS_PER_MATCH} as match_id", f"event_id % {EVENTS_PER_MATCH} as seq")
     # one broadcast of the 25-row dimension serves both lookups (same plan, reused exchange)
     home = broadcast_if_small(nation).alias("h")
     away = broadcast_if_small(nation).alias("a")
@@ -48,64 +87,11 @@ def match_events(spark: SparkSession, sf_dir: str, variant: str = "me") -> DataF
           .join(away, F.col("a.n_nationkey") == (F.col("match_id") + 7) % N_NATIONS)
           .select(*[F.col(c) for c in e.columns], F.col("h.n_name").alias("home_team"),
                   F.col("a.n_name").alias("away_team")))
-
-    k, seq, uid = F.col("k"), F.col("seq"), F.col("user_id")
-    et = F.col("et")
-    event_type = (F.when(et == "click", "Pass").when(et == "view", "Pass")
-                   .when(et == "purchase", "Shot").when(et == "signup", "Dribble")
-                   .otherwise("Pressure"))
-    b = m.select(
-        "*",
-        F.when(uid % 2 == 0, F.col("home_team")).otherwise(F.col("away_team")).alias("team_name"),
-        event_type.alias("event_type"),
-    )
-
-    is_pass = F.col("event_type") == "Pass"
-    is_shot = F.col("event_type") == "Shot"
-    is_drib = F.col("event_type") == "Dribble"
-
-    def flag(cond: Column) -> Column:
-        return F.when(cond, F.lit(True))
-
-    no_player = k == 0
-    out = b.select(
-        "event_id", "match_id", seq.alias("event_index"),
-        F.when(seq < 250, 1).otherwise(2).alias("period"),
-        F.expr("seq div 5").cast("int").alias("minute"),
-        (seq * 12 % 60).cast("int").alias("second"),
-        F.concat(F.lit("00:"), F.lpad(F.expr("seq % 250 div 5").cast("string"), 2, "0"), F.lit(":"),
-                 F.lpad((seq * 12 % 60).cast("string"), 2, "0"), F.lit(".000")).alias("event_timestamp"),
-        "home_team", "away_team", "event_type", "team_name",
-        F.when(no_player, F.lit(None)).otherwise(_concat_num("Player#", uid % squad)).alias("player_name"),
-        F.when(no_player, F.lit(None)).otherwise(uid % squad).alias("player_id"),
-        _concat_num("Position", F.expr(f"user_id % {squad} div 2")).alias("player_position"),
-        _concat_num("Pattern", k % 4).alias("play_pattern"),
-        flag(k % 3 == 0).alias("under_pressure"),
-        F.when(is_pass, F.col("value")).alias("pass_length"),
-        F.when(is_pass, (k - 50).cast("double") / 16).alias("pass_angle"),
-        F.when(is_pass, _concat_num("Height", k % 3)).alias("pass_height"),
-        F.when(is_pass, _concat_num("Body", k % 2)).alias("pass_body_part"),
-        F.when(is_pass & k.between(75, 89), "Incomplete").when(is_pass & (k >= 90), "Out").alias("pass_outcome"),
-        F.when(is_pass & (k % 7 == 0), "Corner").alias("pass_type"),
-        flag(is_pass & (k % 10 == 1)).alias("pass_cross"),
-        flag(is_pass & (k % 20 == 7)).alias("pass_switch"),
-        flag(is_pass & (k % 25 == 3)).alias("pass_through_ball"),
-        flag(is_pass & (k % 50 == 11)).alias("pass_goal_assist"),
-        flag(is_pass & (k % 12 == 5)).alias("pass_shot_assist"),
-        F.when(is_pass & (k < 90), _concat_num("Player#", (uid + 2 + 2 * (k % 2)) % squad)).alias("pass_recipient_name"),
-        F.when(is_shot, F.col("value") / 500).alias("shot_xg"),
-        F.when(is_shot & (k < 12), "Goal").when(is_shot & (k < 40), "Saved")
-         .when(is_shot & (k < 70), "Off T").when(is_shot & (k < 95), "Blocked").alias("shot_outcome"),
-        F.when(is_shot, _concat_num("Body", k % 3)).alias("shot_body_part"),
-        F.when(is_shot, _concat_num("Tech", k % 5)).alias("shot_technique"),
-        F.when(is_shot, F.when(k % 20 == 0, "Penalty").otherwise("Open Play")).alias("shot_type"),
-        flag(is_shot & (k % 4 == 0)).alias("shot_first_time"),
-        flag(is_shot & (k % 9 == 0)).alias("shot_one_on_one"),
-        flag(is_shot & (k % 33 == 0)).alias("shot_open_goal"),
-        F.when(k % 6 == 1, F.array(k.cast("double"), (seq % 80).cast("double"))).alias("carry_end_location"),
-        F.when(is_drib & (k < 55), "Complete").when(is_drib, "Incomplete").alias("dribble_outcome"),
-        F.array((seq % 120).cast("double"), (k % 80).cast("double")).alias("location"),
-    )
+    b = m.selectExpr(
+        "*", "case when user_id % 2 = 0 then home_team else away_team end as team_name",
+        "case et when 'click' then 'Pass' when 'view' then 'Pass' when 'purchase' then 'Shot' "
+        "when 'signup' then 'Dribble' else 'Pressure' end as event_type")
+    out = b.selectExpr(*[c.format(n=squad) for c in _FME_COLUMNS])
     if variant == "dirty":
         out = make_dirty(out)
     return out
