@@ -8,6 +8,7 @@ shuffle from runtime sizes.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +23,14 @@ def list_objects(spark: SparkSession, root: str, glob: str = "*.parquet") -> Dat
     (the scan's ReadSchema is path and length).
     """
     root = root.rstrip("/")
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-          .option("recursiveFileLookup", "true").load(root)
-          .select("path", "length", "modificationTime"))
+    try:
+        df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+              .option("recursiveFileLookup", "true").load(root)
+              .select("path", "length", "modificationTime"))
+    except AnalysisException as e:  # nothing written there yet: an empty listing
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "key string, size bigint, modified timestamp")
     rel = F.regexp_replace("path", r"^.*?" + root.replace(".", r"\.") + "/", "")
     return df.select(rel.alias("key"), F.col("length").alias("size"),
                      F.col("modificationTime").alias("modified"))

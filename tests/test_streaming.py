@@ -99,3 +99,12 @@ def test_stream_alarm_append_mode_finalised_windows(spark):
     # windows still inside the watermark delay stay open: append emits a subset, each exactly once
     assert 0 < app.count() < batch.count()
     assert app.exceptAll(batch).count() == 0
+
+
+def test_pipeline_with_nothing_to_upload(spark):
+    from pitchside.fixtures import matches_dim
+    from pitchside.plans.pipeline import PipelineConfig, run_pipeline
+    ev = match_events(spark, SF0001)
+    cfg = PipelineConfig(root=scratch_path(spark, "empty_run"), max_matches=0)
+    row = run_pipeline(spark, ev, matches_dim(ev), cfg).first()
+    assert (row.ingested, row.processed, row.missing, row.transform_status) == (0, 0, 0, "no_data")
