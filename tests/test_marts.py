@@ -142,3 +142,23 @@ def test_events_of_match_prunes_partitions(spark, scratch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(match_id" in plan and "(match_id#" in plan
     assert df.count() == 500 and df.filter("match_id <> 1").count() == 0
+
+
+def test_hot_match_is_pre_aggregated_before_the_shuffle(spark):
+    # one match holds a third of all events: the plan must combine map-side
+    ev = match_events(spark, SF001)
+    h0, a0 = ev.filter("match_id = 0").select("home_team", "away_team").first()
+    move = F.col("event_id") % 3 == 0  # these events join match 0, keeping their side
+    side = F.when(F.col("team_name") == F.col("home_team"), F.lit(h0)).otherwise(F.lit(a0))
+    hot = (ev.withColumn("team_name", F.when(move, side).otherwise(F.col("team_name")))
+             .withColumn("home_team", F.when(move, F.lit(h0)).otherwise(F.col("home_team")))
+             .withColumn("away_team", F.when(move, F.lit(a0)).otherwise(F.col("away_team")))
+             .withColumn("match_id", F.when(move, F.lit(0)).otherwise(F.col("match_id"))))
+    mart = marts.mart_player_performance(hot)
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    first_exchange = plan.rfind("Exchange hashpartitioning")
+    assert "partial_count" in plan[first_exchange:]
+    single = marts.mart_player_single_pass(hot)
+    assert mart.count() == single.count() and mart.exceptAll(single).count() == 0
+    total = hot.filter(F.col("event_type") == "Pass").filter(F.col("player_name").isNotNull()).count()
+    assert mart.agg(F.sum("total_passes")).first()[0] == total
