@@ -117,9 +117,13 @@ def _player_final(joined: DataFrame) -> DataFrame:
     return joined.select(*out)
 
 
-def mart_player_performance(events: DataFrame) -> DataFrame:
+def mart_player_performance(events: DataFrame, by_team: bool = False) -> DataFrame:
     """M1, exact star semantics (spine of players; joins on match and player).
 
+    ``by_team=True`` adds the team to the join key (no fan-out when two teams
+    of a match share a name): that star is exactly the single aggregate, so
+    it is computed as ``mart_player_single_pass``.
+
     The per-(match, team, player) aggregate is grouped once more by (match,
     player); each group holds one entry per team that used the name in the
     match (home, away, at most a null team), so the collected lists are
@@ -128,6 +132,8 @@ def mart_player_performance(events: DataFrame) -> DataFrame:
     without a self-join: one scan of the events, two exchanges (the second
     one over the small aggregate).
     """
+    if by_team:
+        return mart_player_single_pass(events)
     key = ["match_id", "player_name"]
     agg = player_aggregates(events).filter(F.col("player_name").isNotNull())
     metrics = [c for c in agg.columns if c not in ("match_id", "player_name")]

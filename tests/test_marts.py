@@ -162,3 +162,10 @@ def test_hot_match_is_pre_aggregated_before_the_shuffle(spark):
     assert mart.count() == single.count() and mart.exceptAll(single).count() == 0
     total = hot.filter(F.col("event_type") == "Pass").filter(F.col("player_name").isNotNull()).count()
     assert mart.agg(F.sum("total_passes")).first()[0] == total
+
+
+def test_team_keyed_star_has_no_fanout(spark):
+    fan = match_events(spark, SF001, "fanout")
+    keyed = marts.mart_player_performance(fan, by_team=True)
+    assert keyed.count() == 840
+    assert keyed.select("match_id", "team_name", "player_name").distinct().count() == 840
