@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring
+from . import html, licenses, mixing, packing, quality, substring, syncmers, urls
+from .keys import doc_id_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +22,87 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.mix(table(spark, sf_dir, "documents"))
+    return drawn.select(doc_id_of(drawn["doc_key"]).alias("doc_id"), "domain", "lang", "source", "epoch",
+                        "tokens", "taken")
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return substring.digests(substring.remove_repeated(docs, window=20, base=10))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
+# The budget tree in SQL: the same water-filling over window sums, with
+# huge integers; word tokens; seeded order by MD5.
+_SHARE = """
+{name}_o as (select *, coalesce(sum(capacity) over (partition by {parent} order by capacity::double / weight, {key}
+    rows between unbounded preceding and 1 preceding), 0) fb,
+  sum(weight) over (partition by {parent} order by capacity::double / weight, {key}
+    rows between current row and unbounded following) wf from {name}_i),
+{name}_f as (select *, capacity::hugeint * wf::hugeint <= (budget - fb)::hugeint * weight::hugeint is_full from {name}_o),
+{name}_s as (select *, sum(case when is_full then capacity else 0 end) over (partition by {parent}) taken_all,
+  sum(case when is_full then 0 else weight end) over (partition by {parent}) w_all from {name}_f),
+{name} as (select *, case when is_full then capacity
+  else ((budget - taken_all)::hugeint * weight::hugeint) // w_all::hugeint end granted from {name}_s)"""
+
+ORACLES["op3_mixing"] = f"""
+with rows_ as (
+  select distinct doc_id, coalesce(text, '') text, regexp_extract(coalesce(source, ''), '^[A-Za-z]*') domain_,
+    coalesce(lang, '') lang_, coalesce(source, '') source_ from documents),
+t as (select *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::bigint tokens from rows_),
+leaf as (select domain_, lang_, source_, sum(tokens)::bigint tokens, sum(tokens)::bigint * {mixing.MAX_EPOCHS} capacity
+  from t group by all having sum(tokens) > 0),
+d_i as (select domain_, sum(capacity)::bigint capacity, 1 weight, 0 root,
+  (select sum(tokens)::bigint from leaf) budget from leaf group by 1),
+{_SHARE.format(name="d", parent="root", key="domain_")},
+l_i as (select l.domain_, l.lang_, sum(l.capacity)::bigint capacity,
+  case l.lang_ when 'en' then 4 when 'de' then 2 when 'fr' then 2 when 'es' then 2 else 1 end weight,
+  any_value(d.granted) budget from leaf l join d using (domain_) group by 1, 2),
+{_SHARE.format(name="l", parent="domain_", key="lang_")},
+s_i as (select leaf.*, 1 weight, l.granted budget from leaf join l using (domain_, lang_)),
+{_SHARE.format(name="s", parent="domain_, lang_", key="source_")},
+plan as (select domain_, lang_, source_, (granted // tokens)::bigint whole, (granted % tokens)::bigint rest from s),
+placed as (select t.*, whole, rest, coalesce(sum(tokens) over (partition by domain_, lang_, source_
+    order by md5('{mixing.SEED}:' || whole || ':' || coalesce(doc_id::varchar, 'null')), coalesce(doc_id, {(1 << 63) - 1})
+    rows between unbounded preceding and 1 preceding), 0) start_
+  from t join plan using (domain_, lang_, source_) where tokens > 0),
+epochs as (select *, unnest(range(0, whole + 1)) e from placed)
+select doc_id, domain_ as domain, lang_ as lang, source_ as source, e::int as epoch, tokens,
+  (case when e < whole then tokens else greatest(0, least(tokens, rest - start_)) end)::bigint as taken
+from epochs where e < whole or greatest(0, least(tokens, rest - start_)) > 0"""
+
+# Base counts in SQL would need every 5-word window of every text as a row,
+# too slow on whole tables; the tests compare them with plain Python.
