@@ -159,3 +159,50 @@ def slices(table: pa.RecordBatch, column: str, limit: int = 8 << 20):
         stop = min(max(stop, row + 1), table.num_rows)
         yield table.slice(row, stop - row)
         row = stop
+
+
+def named_positions(lists: pa.Array, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of every element of an Arrow list column of integers
+    (null: empty), with ``base`` of its row added to the low 32 bits."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    lists = lists.fill_null([])
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    value = lists.flatten().to_numpy(zero_copy_only=False)
+    return base[row] + (value & 0xFFFFFFFF), value >> 32
+
+
+def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = None):
+    """Tables of whole key groups from batches sorted by ``keys``: at least
+    ``least`` bytes of the column ``size_of`` (or one group) each."""
+    held: list[pa.RecordBatch] = []
+    size, previous = 0, None
+    for batch in batches:
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for n, c in enumerate(columns):
+            new[1:] |= c[1:] != c[:-1]
+            if previous is not None and batch.num_rows:
+                new[0] |= bool(c[0] != previous[n])
+        if batch.num_rows:
+            previous = [c[-1] for c in columns]
+        cut = 0
+        lengths = None
+        if size_of:
+            offsets = np.frombuffer(batch.column(size_of).cast(pa.large_binary()).buffers()[1], np.int64,
+                                    batch.num_rows + 1, batch.column(size_of).offset * 8)
+            lengths = offsets - offsets[0]
+        for at in np.flatnonzero(new):
+            more = int(lengths[at] - lengths[cut]) if size_of else 0
+            if size + more >= least:
+                if at > cut:
+                    held.append(batch.slice(cut, at - cut))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, size, cut = [], 0, int(at)
+        if batch.num_rows > cut:
+            held.append(batch.slice(cut))
+            if size_of:
+                size += int(lengths[-1] - lengths[cut])
+    if held:
+        yield pa.Table.from_batches(held)
