@@ -99,26 +99,25 @@ class Words:
 
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
-    """Index of the leftmost minimum of every run of ``width`` values."""
-    best, at = values, np.arange(len(values))
+    """Index of the leftmost minimum, by the upper 32 bits, of every run of
+    ``width`` values. The index rides in the lower bits, so each doubling of
+    the reach is one vectorised minimum."""
+    best = (values >> U(32) << U(32)) | np.arange(len(values), dtype=U)
     reach = 1
     while reach < width:
         step = min(reach, width - reach)
-        right, here = best[step:], best[:len(best) - step]
-        take = right < here
-        at = np.where(take, at[step:], at[:len(at) - step])
-        best = np.where(take, right, here)
+        best = np.minimum(best[step:], best[:len(best) - step])
         reach += step
-    return at
+    return (best & U(0xFFFFFFFF)).astype(np.int64)
 
 
 def owned_runs(hashes: np.ndarray, bounds: np.ndarray, width: int,
                part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Assign every window of ``width`` units to its anchor.
 
-    ``hashes`` holds the hash of the ``part`` units that start at each unit;
-    the anchor of a window is its leftmost minimal part, so equal windows
-    have equal anchors at equal distances. ``bounds`` are the n + 1 unit
+    ``hashes`` holds, for each start of a part of ``part`` units, a hash of
+    units of that part; the anchor of a window is its leftmost minimal part,
+    so equal windows have equal anchors at equal distances. ``bounds`` are the n + 1 unit
     offsets of the documents. Returns document, anchor, first and last
     window start of each run of windows with the same anchor.
     """
@@ -126,18 +125,18 @@ def owned_runs(hashes: np.ndarray, bounds: np.ndarray, width: int,
     if len(hashes) < width - part + 1:
         return none, none, none, none
     at = sliding_argmin(hashes, width - part + 1)
-    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    starts = np.arange(len(at))
-    inside = starts + width <= bounds[1:][doc[:len(at)]]
-    starts = starts[inside]
-    if not len(starts):
-        return none, none, none, none
-    anchor, doc = at[starts], doc[starts]
-    new = np.ones(len(starts), dtype=bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
+    # windows may start up to `width` units before the end of their document
+    inside = np.ones(len(at), dtype=bool)
+    ends = bounds[1:]
+    spare = np.maximum(ends - width + 1, bounds[:-1])
+    out, _ = ranges(spare, ends - 1)
+    inside[out[out < len(at)]] = False
+    new = inside.copy()
+    new[1:] &= (at[1:] != at[:-1]) | ~inside[:-1]
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(starts)) - 1
-    return doc[first], anchor[first], starts[first], starts[last]
+    doc = np.searchsorted(bounds, first, side="right") - 1
+    last = np.minimum(np.append(first[1:], len(at)), spare[doc]) - 1
+    return doc, at[first], first, last
 
 
 def ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,9 +171,11 @@ def named_positions(lists: pa.Array, base: np.ndarray) -> tuple[np.ndarray, np.n
     return base[row] + (value & 0xFFFFFFFF), value >> 32
 
 
-def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = None):
-    """Tables of whole key groups from batches sorted by ``keys``: at least
-    ``least`` bytes of the column ``size_of`` (or one group) each."""
+def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = None, rows: int = 0):
+    """Tables of whole key groups from batches sorted by ``keys``: one group
+    each, or as many as hold ``least`` bytes of the column ``size_of`` or
+    ``rows`` rows."""
+    least = max(least, rows)
     held: list[pa.RecordBatch] = []
     size, previous = 0, None
     for batch in batches:
@@ -192,8 +193,10 @@ def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = N
             offsets = np.frombuffer(batch.column(size_of).cast(pa.large_binary()).buffers()[1], np.int64,
                                     batch.num_rows + 1, batch.column(size_of).offset * 8)
             lengths = offsets - offsets[0]
+        elif rows:
+            lengths = np.arange(batch.num_rows + 1)
         for at in np.flatnonzero(new):
-            more = int(lengths[at] - lengths[cut]) if size_of else 0
+            more = int(lengths[at] - lengths[cut]) if lengths is not None else 0
             if size + more >= least:
                 if at > cut:
                     held.append(batch.slice(cut, at - cut))
@@ -202,7 +205,7 @@ def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = N
                 held, size, cut = [], 0, int(at)
         if batch.num_rows > cut:
             held.append(batch.slice(cut))
-            if size_of:
+            if lengths is not None:
                 size += int(lengths[-1] - lengths[cut])
     if held:
         yield pa.Table.from_batches(held)

@@ -8,10 +8,11 @@ never cross documents.
    bytes with the smallest hash; equal strings have equal anchors. An anchor
    hash found once settles all strings of its run (see ``keys`` for how
    places return to the texts). What remains are regions: the bytes under
-   one run of strings. Equal regions collapse to one with a weight.
+   one run of strings. Equal regions collapse to one with a weight, which
+   settles them if their anchor has no other region.
 2. Regions go to shards by anchor, so equal strings meet in one shard. Each
    shard (about ``SHARD`` bytes) builds its suffix array by Larsson-Sadakane
-   refinement: ranks of 8-byte prefixes, then doubled, sorting only what is
+   refinement: ranks of 4-byte prefixes, then doubled, sorting only what is
    not yet told apart, until all are. Kasai's pass over
    the text gives the common prefixes, all regions side by side; runs of
    common prefixes of ``width`` and more are classes of equal strings.
@@ -33,27 +34,42 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import (BYTE_BASES, U, key_groups, named_positions, owned_runs, prefix_hash, range_hash, ranges, slices,
-                     text_bytes)
+from .arrays import (BYTE_BASES, U, key_groups, mix, named_positions, owned_runs, prefix_hash, range_hash, ranges,
+                     slices, text_bytes)
 from .keys import KEY, by_document, doc_id_of, keyed, position_of, tag_of, with_arrays
 
 WIDTH = 200
-PART = 32
-SHARD = 2 << 20
+PART = 32  # a multiple of 8
+SHARD = 1 << 19
 SPLIT = 4096
+MERGE = 100_000  # keys compared at once, cut between equal ones
 
 
 def prefixes_of_8(raw: np.ndarray) -> np.ndarray:
     """The 8 bytes from each place as one big-endian number (0 past the end)."""
-    padded = np.concatenate([raw, np.zeros(8, np.uint8)]).astype(U)
-    n = len(raw)
-    out = np.zeros(n, U)
-    for k in range(8):
-        out |= padded[k:k + n] << U(56 - 8 * k)
-    return out
+    out = np.concatenate([raw, np.zeros(8, np.uint8)]).astype(U)
+    for reach in (1, 2, 4):
+        out = (out[:-reach] << U(8 * reach)) | out[reach:]
+    return out[:len(raw)]
+
+
+def _refined(rank: np.ndarray, second: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places ``at`` sorted by (rank, second), and where the pair is new.
+    Three numbers below 2**21 fit one word, which sorts faster than an index."""
+    if n < 1 << 21:
+        packed = np.sort((rank.astype(U) << U(42)) | (second.astype(U) << U(21)) | at.astype(U))
+        at, key = (packed & U((1 << 21) - 1)).astype(np.int64), packed >> U(21)
+    else:
+        key = rank * np.int64(n + 2) + second
+        by = np.argsort(key)
+        at, key = at[by], key[by]
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    return at, new
 
 
 def suffix_array(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,28 +77,24 @@ def suffix_array(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     a suffix whose group holds it alone is never sorted again."""
     n = len(raw)
     first = prefixes_of_8(raw)
-    order = np.argsort(first, kind="stable")
-    begin = np.ones(n, dtype=bool)
-    begin[1:] = first[order][1:] != first[order][:-1]
-    group = np.maximum.accumulate(np.where(begin, np.arange(n), 0))
+    # two ranks of two bytes each, with a zero past the end below all bytes
+    two = np.append(raw, [0, 0]).astype(np.int64) + np.append(np.ones(n, np.int64), [0, 0])
+    pair = two[:n] * 257 + two[1:n + 1]
+    order, begin = _refined(pair, np.append(pair[2:], [0, 0])[:n], np.arange(n), max(n, 257 * 257))
+    at = np.arange(n)
+    group = np.maximum.accumulate(np.where(begin, at, 0))
     rank = np.empty(n, np.int64)
     rank[order] = group
-    alone = begin & np.append(begin[1:], True)
-    active = order[~alone]
-    h = 8
+    active = order[~(begin & np.append(begin[1:], True))]
+    h = 4
     while h < n and len(active):
         after = active + h
         second = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        key = rank[active] * (n + 1) + second
-        by = np.argsort(key, kind="stable")
-        active, key = active[by], key[by]
-        old = rank[active]
-        at = np.arange(len(active))
+        active, new = _refined(rank[active], second, active, n)
+        old, at = rank[active], np.arange(len(active))
         new_old = np.ones(len(active), dtype=bool)
         new_old[1:] = old[1:] != old[:-1]
         start_old = np.maximum.accumulate(np.where(new_old, at, 0))
-        new = np.ones(len(active), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
         start = np.maximum.accumulate(np.where(new, at, 0))
         order[old + at - start_old] = active
         rank[active] = old + start - start_old
@@ -91,16 +103,21 @@ def suffix_array(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, first
 
 
+STEPS = np.array([1 << (8 * k) for k in range(8)], dtype=U)
+
+
 def common_prefixes(raw: np.ndarray, first: np.ndarray, order: np.ndarray, starts: np.ndarray,
                     lengths: np.ndarray, depth: int) -> np.ndarray:
-    """Kasai's pass: common prefix (up to ``depth``) of each suffix in the
-    order with the one before it. Walks all regions in step, one byte a step,
-    and keeps what is left of the match of the byte before."""
+    """Kasai's pass: common prefix (up to ``depth``) of each suffix of the
+    order with the one before it. ``order`` holds the suffixes that begin in
+    the given stretches of text. All stretches are walked in step, one byte
+    a step; what is left of the match of the byte before is kept, unless the
+    matched suffix was the last of its stretch."""
     n = len(raw)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.full(n + 1, -1, np.int64)
+    place[order] = np.arange(len(order))
     words = np.concatenate([first, np.zeros(depth + 16, U)])
-    out = np.zeros(n, np.int32)
+    out = np.zeros(len(order), np.int32)
     by = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[by], lengths[by]
     match = np.zeros(len(starts), np.int64)
@@ -108,23 +125,18 @@ def common_prefixes(raw: np.ndarray, first: np.ndarray, order: np.ndarray, start
         live = int(np.searchsorted(-lengths, -step, side="left"))  # lengths > step
         at = starts[:live] + step
         slot = place[at]
-        has = slot > 0
         other = order[np.maximum(slot - 1, 0)]
-        got = np.maximum(match[:live] - 1, 0)
-        got[~has] = 0
-        todo = np.flatnonzero(has & (got < depth))
+        got = np.where(slot > 0, match[:live], 0)
+        todo = np.flatnonzero((slot > 0) & (got < depth))
         while len(todo):
             i, j = at[todo] + got[todo], other[todo] + got[todo]
-            x = words[i] ^ words[j]
-            room = np.minimum(n - i, n - j)
-            same = np.full(len(todo), 8, np.int64)
-            for k in range(8):
-                same -= x >= U(1 << (8 * k))
-            same = np.minimum(same, room)
+            same = 8 - np.searchsorted(STEPS, words[i] ^ words[j], side="right")
+            same = np.minimum(same, np.minimum(n - i, n - j))
             got[todo] += same
             todo = todo[(same == 8) & (got[todo] < depth)]
-        match[:live] = np.minimum(got, depth)
-        out[slot] = match[:live]
+        got = np.minimum(got, depth)
+        out[slot] = got
+        match[:live] = np.where(place[other + 1] >= 0, np.maximum(got - 1, 0), 0)
     return out
 
 
@@ -132,12 +144,12 @@ def shard_classes(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, widt
     """Start of every ``width``-byte string inside a region, in suffix order,
     and the number of its class of equal strings."""
     order, first = suffix_array(raw)
-    lcp = common_prefixes(raw, first, order, starts, lengths, width)
     owned = np.zeros(len(raw), dtype=bool)
     at, _ = ranges(starts, starts + lengths - width)
     owned[at] = True
-    number = np.cumsum(lcp < width)
-    return order[owned[order]], number[owned[order]]
+    order = order[owned[order]]
+    lcp = common_prefixes(raw, first, order, starts, lengths - width + 1, width)
+    return order, np.cumsum(lcp < width)
 
 
 class _Slice:
@@ -146,11 +158,20 @@ class _Slice:
         self.tag = piece.column("text_tag").to_numpy(zero_copy_only=False)
         self.raw, self.bounds = text_bytes(piece.column("text"))
         self.begin = self.bounds[:-1]
-        self.prefix = prefix_hash(self.raw.astype(U), BYTE_BASES[0])
-        at = np.arange(max(0, len(self.raw) - part + 1))
-        hashes = range_hash(self.prefix, BYTE_BASES[0], at, at + part)
-        self.doc, anchor, self.lo, self.hi = owned_runs(hashes, self.bounds, width, part)
-        self.anchor = hashes[anchor].view(np.int64)
+        # the order of parts looks at their first 8 bytes, their key at all
+        eight = prefixes_of_8(self.raw)
+        parts = eight[:max(0, len(self.raw) - part + 1)] * U(BYTE_BASES[1])
+        self.doc, anchor, self.lo, self.hi = owned_runs(parts, self.bounds, width, part)
+        key = np.zeros(len(anchor), U)
+        for k in range(0, part, 8):
+            key = mix(key * U(BYTE_BASES[0]) + eight[anchor + k])
+        self.anchor = key.view(np.int64)
+
+    def digests(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """128-bit hashes of byte ranges as two columns."""
+        raw = memoryview(self.raw.tobytes())
+        joined = b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())])
+        return np.frombuffer(joined, np.int64).reshape(-1, 2)
 
     def keep(self, rows: np.ndarray) -> None:
         self.doc, self.lo, self.hi, self.anchor = self.doc[rows], self.lo[rows], self.hi[rows], self.anchor[rows]
@@ -174,7 +195,7 @@ class _Slice:
 
 def _open(batches, width, part):
     for batch in batches:
-        for piece in slices(batch, "text", 2 << 20):
+        for piece in slices(batch, "text", 1 << 20):
             yield piece, _Slice(piece, width, part)
 
 
@@ -187,12 +208,9 @@ def _anchor_rows(batches, width, part):
 def _region_rows(batches, width, part):
     for piece, s in _open(batches, width, part):
         s.settle(piece.column("once"))
-        second = prefix_hash(s.raw.astype(U), BYTE_BASES[1])
-        end = s.hi + width
+        digest = s.digests(s.lo, s.hi + width)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range_hash(s.prefix, BYTE_BASES[0], s.lo, end).view(np.int64)),
-             pa.array(range_hash(second, BYTE_BASES[1], s.lo, end).view(np.int64)),
-             pa.array(s.anchor), pa.array(s.key[s.doc]), pa.array(s.places())],
+            [pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), pa.array(s.anchor), pa.array(s.key[s.doc]), pa.array(s.places())],
             names=["g", "g2", "h", "doc_key", "place"])
 
 
@@ -219,8 +237,8 @@ SHARD_ROWS = "doc_key long, place long, n long, k long, k2 long"
 
 def _shards(batches, width):
     """Suffix array of each shard: rows of repeated strings (n starts from
-    place on) and, for split anchors, one key per string not yet known to
-    repeat (n = 0) and per class known to (n = -1)."""
+    place on, k any number) and, for split anchors, one key per string not
+    yet known to repeat (n = 0) and per class known to (n = -1)."""
     for table in key_groups(batches, ["h", "salt"], SHARD, "bytes"):
         table = table.combine_chunks()
         column = table.column("bytes").combine_chunks() if table.num_rows else None
@@ -242,8 +260,8 @@ def _shards(batches, width):
             first = np.flatnonzero(new)
             size = np.diff(np.append(first, len(spot)))
             a, r = spot[first], r[first]
-            zero = np.zeros(len(a), np.int64)
-            out.append((key[r], place[r] + a - starts[r], size, zero, zero))
+            where = place[r] + a - starts[r]
+            out.append((key[r], where, size, mix((where ^ key[r]).view(U)).view(np.int64), np.zeros(len(a), np.int64)))
         if split.any():
             one = np.zeros(len(at), dtype=bool)
             one[np.unique(number, return_index=True)[1]] = True  # one of each class
@@ -266,19 +284,20 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merge(batches):
-    """Strings that a split anchor's shards hold once each but that occur in
-    another shard: found by binary search in the sorted keys of all."""
-    for table in key_groups(batches, ["k"], 0):
-        k2 = table.column("k2").to_numpy()
-        n = table.column("n").to_numpy()
-        keys = np.sort(k2)
-        found = np.searchsorted(keys, k2, side="right") - np.searchsorted(keys, k2, side="left")
-        hit = (found >= 2) & (n == 0)
+    """Rows of repeated strings as they come, and the strings that a split
+    anchor's shards hold once each but that occur in another shard: found by
+    binary search in the sorted keys of all."""
+    for table in key_groups(batches, ["k"], rows=MERGE):
+        k, k2, n = (table.column(c).to_numpy() for c in ("k", "k2", "n"))
+        known = n > 0
+        keys = np.sort(mix(k[~known].view(U)) + k2[~known].view(U))
+        mine = mix(k.view(U)) + k2.view(U)
+        found = np.searchsorted(keys, mine, side="right") - np.searchsorted(keys, mine, side="left")
+        hit = known | ((found >= 2) & (n == 0))
         if hit.any():
-            count = int(hit.sum())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(table.column("doc_key").to_numpy()[hit]), pa.array(table.column("place").to_numpy()[hit]),
-                 pa.array(np.ones(count, np.int64))], names=["doc_key", "place", "n"])
+                [pa.array(table.column(c).to_numpy()[hit]) for c in ("doc_key", "place")]
+                + [pa.array(np.where(known, n, 1)[hit])], names=["doc_key", "place", "n"])
 
 
 def _kept(batches, width, part):
@@ -322,6 +341,8 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH, part: int = PART, split
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: doc_key, text_tag, n_bytes, n_removed, n_spans and
     ``kept``, the bytes outside repeated strings."""
+    if part % 8 or part > width:
+        raise ValueError("part must be a multiple of 8 and at most width")
     texts = keyed(docs, id_col, text_col)
     size = {"width": width, "part": part}
     anchors = texts.mapInArrow(partial(_anchor_rows, **size), "h long, doc_key long, place long")
@@ -334,9 +355,9 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH, part: int = PART, split
     distinct = regions.groupBy("g", "g2").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_key", "place", "h")).alias("least"))
     distinct = distinct.select("n", "least.*")
-    many = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("regions")).filter(F.col("regions") > split)
-    dealt = distinct.join(many, "h", "left").withColumn(
-        "shards", F.ceil(F.coalesce(F.col("regions"), F.lit(1)) / split).cast("long"))
+    # a region whose anchor has no other is settled by its copies
+    several = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("regions")).filter("regions > 1")
+    dealt = distinct.join(several, "h").withColumn("shards", F.ceil(F.col("regions") / split).cast("long"))
     code = position_of(F.col("place")) + F.shiftleft(F.shiftleft("shards", 1) + (F.col("n") > 1).cast("long"), 32)
     region = _lists(dealt, code, "region")
 
@@ -345,9 +366,8 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH, part: int = PART, split
         "h long, salt int, split boolean, weight int, doc_key long, place long, bytes binary")
         .repartition("h", "salt").sortWithinPartitions("h", "salt")
         .mapInArrow(partial(_shards, width=width), SHARD_ROWS))
-    merged = (shards.filter("n <= 0").repartition("k").sortWithinPartitions("k")
-              .mapInArrow(_merge, "doc_key long, place long, n long"))
-    found = shards.filter("n > 0").select("doc_key", "place", "n").unionByName(merged)
+    found = (shards.repartition("k").sortWithinPartitions("k")
+             .mapInArrow(_merge, "doc_key long, place long, n long"))
     repeated = _lists(found, position_of(F.col("place")) + F.shiftleft("n", 32), "repeated")
     return with_arrays(texts, once, region, repeated).mapInArrow(
         partial(_kept, **size), "doc_key long, text_tag long, n_bytes long, n_removed long, n_spans long, kept binary")
