@@ -171,11 +171,10 @@ def named_positions(lists: pa.Array, base: np.ndarray) -> tuple[np.ndarray, np.n
     return base[row] + (value & 0xFFFFFFFF), value >> 32
 
 
-def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = None, rows: int = 0):
+def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = None):
     """Tables of whole key groups from batches sorted by ``keys``: one group
-    each, or as many as hold ``least`` bytes of the column ``size_of`` or
-    ``rows`` rows."""
-    least = max(least, rows)
+    each, or as many as hold ``least`` bytes, at 64 a row besides those of
+    the column ``size_of``."""
     held: list[pa.RecordBatch] = []
     size, previous = 0, None
     for batch in batches:
@@ -192,9 +191,7 @@ def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = N
         if size_of:
             offsets = np.frombuffer(batch.column(size_of).cast(pa.large_binary()).buffers()[1], np.int64,
                                     batch.num_rows + 1, batch.column(size_of).offset * 8)
-            lengths = offsets - offsets[0]
-        elif rows:
-            lengths = np.arange(batch.num_rows + 1)
+            lengths = offsets - offsets[0] + 64 * np.arange(batch.num_rows + 1)
         for at in np.flatnonzero(new):
             more = int(lengths[at] - lengths[cut]) if lengths is not None else 0
             if size + more >= least:

@@ -46,7 +46,7 @@ WIDTH = 200
 PART = 32  # a multiple of 8
 SHARD = 1 << 19
 SPLIT = 4096
-MERGE = 100_000  # keys compared at once, cut between equal ones
+MERGE = 4 << 20  # bytes of keys compared at once; equal ones share a bucket
 
 
 def prefixes_of_8(raw: np.ndarray) -> np.ndarray:
@@ -226,19 +226,20 @@ def _region_texts(batches, width, part):
         raw = s.raw.tobytes()
         texts = [raw[a:b] for a, b in zip(s.lo.tolist(), (s.hi + width).tolist())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(s.anchor), pa.array(salt.astype(np.int32)), pa.array((shards > 1)),
+            [pa.array(s.anchor), pa.array(salt.astype(np.int32)), pa.array(shards.astype(np.int32)),
              pa.array((value & 1).astype(np.int32) + 1, pa.int32()), pa.array(s.key[s.doc]), pa.array(s.places()),
              pa.array(texts, pa.binary())],
-            names=["h", "salt", "split", "weight", "doc_key", "place", "bytes"])
+            names=["h", "salt", "shards", "weight", "doc_key", "place", "bytes"])
 
 
-SHARD_ROWS = "doc_key long, place long, n long, k long, k2 long"
+SHARD_ROWS = "doc_key long, place long, n long, h long, bucket int, keys binary"
 
 
 def _shards(batches, width):
     """Suffix array of each shard: rows of repeated strings (n starts from
-    place on, k any number) and, for split anchors, one key per string not
-    yet known to repeat (n = 0) and per class known to (n = -1)."""
+    place on) and, for split anchors, rows (n = 0) of packed keys of their
+    strings, one key per class known to repeat and one per other string. An
+    anchor dealt to s shards has its keys dealt to s buckets."""
     for table in key_groups(batches, ["h", "salt"], SHARD, "bytes"):
         table = table.combine_chunks()
         column = table.column("bytes").combine_chunks() if table.num_rows else None
@@ -247,11 +248,11 @@ def _shards(batches, width):
         at, number = shard_classes(raw, starts, lengths, width)
         region = np.searchsorted(bounds, at, side="right") - 1
         weight = table.column("weight").to_numpy()[region]
-        split = table.column("split").to_numpy(zero_copy_only=False)[region]
+        shards = table.column("shards").to_numpy()
         total = np.bincount(number, weights=weight, minlength=number.max() + 1 if len(number) else 0)
         repeated = total[number] >= 2
         key, place = table.column("doc_key").to_numpy(), table.column("place").to_numpy()
-        out = []
+        names = ["doc_key", "place", "n", "h", "bucket", "keys"]
         spot = np.sort(at[repeated])
         if len(spot):
             r = np.searchsorted(bounds, spot, side="right") - 1
@@ -259,19 +260,30 @@ def _shards(batches, width):
             new[1:] = (spot[1:] != spot[:-1] + 1) | (r[1:] != r[:-1])
             first = np.flatnonzero(new)
             size = np.diff(np.append(first, len(spot)))
-            a, r = spot[first], r[first]
-            where = place[r] + a - starts[r]
-            out.append((key[r], where, size, mix((where ^ key[r]).view(U)).view(np.int64), np.zeros(len(a), np.int64)))
-        if split.any():
-            one = np.zeros(len(at), dtype=bool)
-            one[np.unique(number, return_index=True)[1]] = True  # one of each class
-            pick = split & (one | ~repeated)
+            r = r[first]
+            where = place[r] + spot[first] - starts[r]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[r]), pa.array(where), pa.array(size),
+                 pa.array(mix((where ^ key[r]).view(U)).view(np.int64)),
+                 pa.array(np.full(len(r), -1, np.int32)), pa.array([b""] * len(r), pa.binary())], names=names)
+        one = np.zeros(len(at), dtype=bool)
+        one[np.unique(number, return_index=True)[1]] = True  # one of each class
+        pick = np.flatnonzero((shards[region] > 1) & (one | ~repeated))
+        if len(pick):
             a, r = at[pick], region[pick]
-            keys = [range_hash(prefix_hash(raw.astype(U), b), b, a, a + width).view(np.int64) for b in BYTE_BASES]
-            out.append((key[r], place[r] + a - starts[r], -repeated[pick].astype(np.int64), *keys))
-        for columns in out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(c, np.int64)) for c in columns],
-                                             names=["doc_key", "place", "n", "k", "k2"])
+            k, k2 = (range_hash(prefix_hash(raw.astype(U), b), b, a, a + width).view(np.int64) for b in BYTE_BASES)
+            anchor, bucket = table.column("h").to_numpy()[r], (k & 0x7FFFFFFF) % shards[r]
+            by = np.lexsort((bucket, anchor))
+            keys = np.stack([k, k2, key[r], place[r] + a - starts[r], repeated[pick].astype(np.int64)], axis=1)[by]
+            anchor, bucket = anchor[by], bucket[by]
+            new = np.ones(len(by), dtype=bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (bucket[1:] != bucket[:-1])
+            cut = np.flatnonzero(new)
+            packed = [keys[i:j].tobytes() for i, j in zip(cut, np.append(cut[1:], len(by)))]
+            zero = pa.array(np.zeros(len(cut), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [zero, zero, zero, pa.array(anchor[cut]), pa.array(bucket[cut].astype(np.int32)),
+                 pa.array(packed, pa.binary())], names=names)
 
 
 def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -287,17 +299,20 @@ def _merge(batches):
     """Rows of repeated strings as they come, and the strings that a split
     anchor's shards hold once each but that occur in another shard: found by
     binary search in the sorted keys of all."""
-    for table in key_groups(batches, ["k"], rows=MERGE):
-        k, k2, n = (table.column(c).to_numpy() for c in ("k", "k2", "n"))
-        known = n > 0
-        keys = np.sort(mix(k[~known].view(U)) + k2[~known].view(U))
+    names = ["doc_key", "place", "n"]
+    for table in key_groups(batches, ["h", "bucket"], MERGE, "keys"):
+        known = table.filter(pa.array(table.column("n").to_numpy() > 0)).select(names)
+        yield from known.to_batches()
+        raw, _ = _binary(table.column("keys"))
+        if not len(raw):
+            continue
+        k, k2, doc_key, place, repeats = np.frombuffer(raw.tobytes(), np.int64).reshape(-1, 5).T
         mine = mix(k.view(U)) + k2.view(U)
+        keys = np.sort(mine)
         found = np.searchsorted(keys, mine, side="right") - np.searchsorted(keys, mine, side="left")
-        hit = known | ((found >= 2) & (n == 0))
-        if hit.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(table.column(c).to_numpy()[hit]) for c in ("doc_key", "place")]
-                + [pa.array(np.where(known, n, 1)[hit])], names=["doc_key", "place", "n"])
+        hit = (found >= 2) & (repeats == 0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc_key[hit]), pa.array(place[hit]), pa.array(np.ones(int(hit.sum()), np.int64))], names=names)
 
 
 def _kept(batches, width, part):
@@ -363,10 +378,10 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH, part: int = PART, split
 
     shards = (with_arrays(texts, once, region).mapInArrow(
         partial(_region_texts, **size),
-        "h long, salt int, split boolean, weight int, doc_key long, place long, bytes binary")
+        "h long, salt int, shards int, weight int, doc_key long, place long, bytes binary")
         .repartition("h", "salt").sortWithinPartitions("h", "salt")
         .mapInArrow(partial(_shards, width=width), SHARD_ROWS))
-    found = (shards.repartition("k").sortWithinPartitions("k")
+    found = (shards.repartition("h", "bucket").sortWithinPartitions("h", "bucket")
              .mapInArrow(_merge, "doc_key long, place long, n long"))
     repeated = _lists(found, position_of(F.col("place")) + F.shiftleft("n", 32), "repeated")
     return with_arrays(texts, once, region, repeated).mapInArrow(
