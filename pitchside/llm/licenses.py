@@ -122,7 +122,9 @@ def scan(files: DataFrame, path: Column, text: Column, min_score: float = MIN_SC
     keyed = files.withColumns({"path_key": F.coalesce(path.cast("string"), F.lit("")),
                                "no_path": path.isNull(), "text": text.cast("string")})
     keyed = keyed.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    named = segments(keyed.select("path_key", "text_key", "text")).withColumn("segment_key", F.sha2("segment", 256))
+    # the texts are searched once; all that follows reads the segments found
+    named = (segments(keyed.select("path_key", "text_key", "text"))
+             .withColumn("segment_key", F.sha2("segment", 256)).checkpoint())
     best = scores(named.select("segment_key", "segment").dropDuplicates(["segment_key"]),
                   templates or TEMPLATES).filter(F.col("score") >= min_score)
     own = (named.select("path_key", "text_key", "kind", "segment_key").join(best, "segment_key")
@@ -131,8 +133,8 @@ def scan(files: DataFrame, path: Column, text: Column, min_score: float = MIN_SC
                F.coalesce(F.max(F.col("kind") == "whole"), F.lit(False)).alias("whole")))
     own = own.select("path_key", "text_key", F.col("own.licence").alias("own_licence"),
                      F.col("own.score").alias("own_score"), "whole")
-    matched = (keyed.drop("text").join(own, ["path_key", "text_key"], "left")
-               .withColumn("directory", F.when(~F.col("no_path"), directory_of(F.col("path_key")))))
+    matched = (keyed.drop("text", "content").join(own, ["path_key", "text_key"], "left")
+               .withColumn("directory", F.when(~F.col("no_path"), directory_of(F.col("path_key")))).checkpoint())
     licence_file = F.col("whole") | F.regexp_extract("path_key", "[^/]*$", 0).rlike(LICENCE_FILE)
     licensed = (matched.filter(F.col("own_licence").isNotNull() & F.col("directory").isNotNull() & licence_file)
                 .groupBy(F.col("directory").alias("above"))
