@@ -8,8 +8,9 @@ the segments and templates; vectors stay sparse rows (segment, term), and
 only terms that a template has meet a template. The template vectors are a
 broadcast bounded by ``TEMPLATES``.
 
-A file is a licence file if its name says so or its whole text is like a
-template; it then licenses its directory. A file without a licence of its
+A file is a licence file if its name says so, or if its name has no
+extension and its whole text is like a template; it then licenses its
+directory. A file without a licence of its
 own takes that of the nearest ancestor directory with one, found by joining
 the distinct directories, with their ancestors, to the licensed ones.
 
@@ -135,7 +136,8 @@ def scan(files: DataFrame, path: Column, text: Column, min_score: float = MIN_SC
                      F.col("own.score").alias("own_score"), "whole")
     matched = (keyed.drop("text", "content").join(own, ["path_key", "text_key"], "left")
                .withColumn("directory", F.when(~F.col("no_path"), directory_of(F.col("path_key")))).checkpoint())
-    licence_file = F.col("whole") | F.regexp_extract("path_key", "[^/]*$", 0).rlike(LICENCE_FILE)
+    name = F.regexp_extract("path_key", "[^/]*$", 0)
+    licence_file = (F.col("whole") & ~F.contains(name, F.lit("."))) | name.rlike(LICENCE_FILE)
     licensed = (matched.filter(F.col("own_licence").isNotNull() & F.col("directory").isNotNull() & licence_file)
                 .groupBy(F.col("directory").alias("above"))
                 .agg(F.min(F.struct((-F.col("own_score")).alias("s"), "own_licence", "path_key")).alias("best"))
