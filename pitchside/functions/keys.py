@@ -38,4 +38,5 @@ def match_id_from_key(path: Column | str) -> Column:
 def key_version(path: Column | str) -> Column:
     """Restatement version from ``__v<n>`` (0 when absent)."""
     v = F.regexp_extract(_c(path), KEY_PATTERN, 2)
-    return F.when(v == "", F.lit(0)).otherwise(F.substring(v, 4, 10).cast("int"))
+    digits = F.regexp_replace(v, "^__v", "").try_cast("decimal(38,0)")
+    return F.when(v == "", F.lit(0).cast("decimal(38,0)")).otherwise(digits)

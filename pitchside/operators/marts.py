@@ -140,7 +140,9 @@ def mart_player_performance(events: DataFrame, by_team: bool = False) -> DataFra
     per = agg.groupBy(*key).agg(F.collect_list(F.struct(*metrics)).alias("rows"))
     star = per.select(*key, "rows", F.explode("rows").alias("s"))
     for side, n in (("pa", "total_passes"), ("sh", "total_shots"), ("dr", "total_dribbles")):
-        star = star.select("*", F.explode_outer(F.filter("rows", _has(n))).alias(side))
+        # a null match never joins, not even to itself
+        joined = F.when(F.col("match_id").isNotNull(), F.filter("rows", _has(n)))
+        star = star.select("*", F.explode_outer(joined).alias(side))
     cols = [F.col("match_id"), F.col("s.team_name").alias("team_name"), F.col("player_name")]
     cols += [F.col(f"pa.{c}").alias(c) for c in _PASS_METRICS]
     cols += [F.col(f"sh.{c}").alias(c) for c in _SHOT_METRICS]
@@ -176,7 +178,8 @@ def team_aggregates(events: DataFrame) -> DataFrame:
     """One pass: per (match, team, home, away) counts and unrounded sums."""
     p, s, d, pr = _is(PASS), _is(SHOT), _is(DRIBBLE), _is(PRESSURE)
     pl = F.when(p, F.col("pass_length"))
-    return events.groupBy("match_id", "team_name", "home_team", "away_team").agg(
+    counted = events.filter(F.col("event_type").isin(PASS, SHOT, DRIBBLE, PRESSURE))
+    return counted.groupBy("match_id", "team_name", "home_team", "away_team").agg(
         F.count_if(p).alias("total_passes"),
         count_when(p & F.col("pass_outcome").isNull()).alias("completed_passes"),
         count_when(p & is_true("pass_cross")).alias("crosses"),

@@ -93,15 +93,16 @@ def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, l
         row_viol = Q.violations(rows, Q.RAW_ROW_RULES, ["unit", "match_id"])
         viol = row_viol.unionByName(R.file_rejections(facts, REQUIRED_KEYS)).select(*_VIOLATION_COLS)
 
-        # restatements: only the newest version of a match in this batch is kept
-        latest = facts.groupBy("match_id").agg(F.max("version").alias("version"))
-        stale = facts.join(latest, ["match_id", "version"], "left_anti").select("unit")
         if reject == "row":
-            file_viol = R.file_rejections(facts, REQUIRED_KEYS)
-            bad_units = file_viol.select("unit").unionByName(stale).distinct()
+            invalid = R.file_rejections(facts, REQUIRED_KEYS).select("unit").distinct()
             rows = rows.filter(~Q.any_failed(Q.RAW_ROW_RULES))
         else:
-            bad_units = viol.select("unit").unionByName(stale).distinct()
+            invalid = viol.select("unit").distinct()
+        # restatements: of a match's valid files in this batch the newest is kept
+        valid = facts.join(invalid, "unit", "left_anti")
+        latest = valid.groupBy("match_id").agg(F.max("version").alias("version"))
+        stale = valid.join(latest, ["match_id", "version"], "left_anti").select("unit")
+        bad_units = invalid.unionByName(stale).distinct()
 
         accepted, _ = Q.split_by_file(rows, bad_units, file_col="unit", max_files=max_files)
         obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")

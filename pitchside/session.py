@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
         # local runs and tests only: a cluster always names a shared folder
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="pitchside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     jsc = spark.sparkContext._jsc.sc()

@@ -81,5 +81,5 @@ def export_events_json(df: DataFrame, path: str, nested: bool = True, rebalance:
     input tasks each hold rows of many matches)."""
     out = to_nested(df) if nested else df
     out = rebalanced(out, ["match_id"]) if rebalance else out
-    (out.write.mode("overwrite").option("ignoreNullFields", "false")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false")
         .partitionBy("match_id").json(path))

@@ -80,7 +80,7 @@ def start_stream_alarm(spark: SparkSession, source_dir: str, file_glob: str, sch
 
 def run_stream_alarm(spark: SparkSession, source_dir: str, file_glob: str, schema: T.StructType | str,
                      out_path: str, checkpoint: str, failure_filter: F.Column,
-                     ts_col: str = "ts", timeout_s: int = 600, output_mode: str = "complete") -> DataFrame:
+                     ts_col: str = "ts", timeout_s: int | None = None, output_mode: str = "complete") -> DataFrame:
     """Run the alarm as an ``availableNow`` stream and read the windows back."""
     q = start_stream_alarm(spark, source_dir, file_glob, schema, out_path, checkpoint, failure_filter,
                            ts_col, output_mode, True)

@@ -69,10 +69,10 @@ def start_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, q
 
 def run_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, quarantine_dir: str,
                       checkpoint: str, layout: str = "array", max_files_per_trigger: int = 1000,
-                      matches: DataFrame | None = None, timeout_s: int = 900,
+                      matches: DataFrame | None = None, timeout_s: int | None = None,
                       core_only: bool = False, reject: str = "file") -> StreamRun:
     """Process every file present now and wait for it: a real barrier in
-    place of a fixed sleep (T5)."""
+    place of a fixed sleep (T5). ``timeout_s`` bounds the wait if given."""
     run = StreamRun()
     q = start_ingest_stream(spark, raw_dir, processed_dir, quarantine_dir, checkpoint, layout,
                             max_files_per_trigger, matches, True, None, run, core_only, reject)
