@@ -130,9 +130,11 @@ def first_n_matches(matches: DataFrame, n: int) -> DataFrame:
 
 
 def dataset_profile(events: DataFrame) -> DataFrame:
-    """Events, matches, teams and column count in one aggregate."""
-    return events.agg(
-        F.count(F.lit(1)).alias("n_events"),
+    """Events, matches, teams and column count (R9, A8): distinct counts over
+    the (match, team) groups, so the events are not expanded per distinct."""
+    pairs = events.groupBy("match_id", "team_name").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_events"),
         F.count_distinct("match_id").alias("n_matches"),
         F.count_distinct("team_name").alias("n_teams"),
         F.lit(len(events.columns)).cast("bigint").alias("n_columns"),

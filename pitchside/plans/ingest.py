@@ -121,14 +121,15 @@ def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, l
 
 def ingest_files(spark, raw_dir: str, processed_dir: str, quarantine_dir: str, layout: str = "array",
                  matches: DataFrame | None = None, core_only: bool = False,
-                 reject: str = "file", max_files_per_batch: int = Q.MAX_BROADCAST_FILES) -> BatchResult:
+                 reject: str = "file", max_files_per_batch: int = Q.MAX_BROADCAST_FILES,
+                 checkpoint: str | None = None) -> BatchResult:
     """Batch entry: ingest every ``*.json`` below ``raw_dir`` (recursively).
 
     Up to ``max_files_per_batch`` files are one batch. A larger backfill runs
     as an ``availableNow`` stream over the same folder: bounded micro-batches
-    (bounded cache, bounded broadcast of bad-file keys) with a checkpoint in
-    the shared checkpoint folder, so a failed backfill resumes where it
-    stopped. (Lines layout: a match folder must not straddle two batches.)
+    (bounded cache, bounded broadcast of bad-file keys). A failed backfill
+    resumes where it stopped if called again with the same ``checkpoint``;
+    without one each call starts over. (Lines layout: a match folder must not straddle two batches.)
     """
     rows = R.read_raw_files(spark, raw_dir, layout)
     n_files = len(rows.inputFiles())  # file listing only (driver metadata), bounds the bad-file set
@@ -137,7 +138,8 @@ def ingest_files(spark, raw_dir: str, processed_dir: str, quarantine_dir: str, l
                             core_only, reject)
     from ..session import scratch_path
     from ..streaming.ingest_stream import run_ingest_stream
-    run = run_ingest_stream(spark, raw_dir, processed_dir, quarantine_dir, scratch_path(spark, "backfill"),
+    run = run_ingest_stream(spark, raw_dir, processed_dir, quarantine_dir,
+                            checkpoint or scratch_path(spark, "backfill"),
                             layout, max_files_per_batch, matches, core_only=core_only, reject=reject)
     return BatchResult(files=run.files, accepted_files=run.files - run.rejected_files,
                        rejected_files=run.rejected_files, accepted_rows=run.accepted_rows)

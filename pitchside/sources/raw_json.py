@@ -160,6 +160,7 @@ def typed_columns(events: DataFrame, wanted: list[tuple[str, str]], keys: list[s
             groups.setdefault(group, []).append((rest, "variant" if named else dtype))
     have = {n for n, _ in top}
     top += [(k, "variant") for k in keys if k not in have]
+    names = {n for n, _ in top}
     top += [(g, _struct_ddl(fs)) for g, fs in groups.items()]
     inner = events.select("*", F.try_variant_get(v, "$", _struct_ddl(top)).alias("_r"))
 
@@ -179,6 +180,8 @@ def typed_columns(events: DataFrame, wanted: list[tuple[str, str]], keys: list[s
             val = F.when(g.isNotNull(), field(g.getField(rest), raw, dtype)).otherwise(flat)
         else:
             val = flat
+        if raw == "player_id" and "player" in names:  # nested shape: player {id, name}
+            val = F.coalesce(val, F.try_variant_get(F.col("_r.player"), "$.id", dtype))
         cols.append(val.alias(raw))
     for k in keys:
         node = F.col(f"_r.`{k}`")

@@ -11,7 +11,7 @@ from pitchside.sources.raw_json import explode_events, read_raw_files
 
 NESTED = {"id": "n-0001", "index": 1, "period": 1, "timestamp": "00:00:01.000",
           "type": {"name": "Pass"}, "team": {"name": "North United"},
-          "player": {"name": "Avery Stone"}, "location": [52.5, 31.0]}
+          "player": {"id": 5503, "name": "Avery Stone"}, "location": [52.5, 31.0]}
 
 
 def flat(i, **kw):
@@ -70,6 +70,7 @@ def test_nested_shape_flattened(ingested):
     _, processed, _ = ingested
     row = processed.filter("match_id = 1").first()
     assert (row.event_type, row.team_name, row.player_name) == ("Pass", "North United", "Avery Stone")
+    assert row.player_id == 5503
     assert list(row.location) == [52.5, 31.0]
 
 
@@ -181,3 +182,14 @@ def test_stream_over_raw_fixtures_equals_batch(spark):
     qa = spark.read.parquet(os.path.join(root, "qb")).select("match_id", "rule", "column_name")
     qb = spark.read.parquet(os.path.join(root, "qs")).select("match_id", "rule", "column_name")
     assert qa.exceptAll(qb).count() == 0 and qb.exceptAll(qa).count() == 0
+
+
+def test_backfill_resumes_with_its_checkpoint(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("resume"))
+    write_raw(root)
+    args = [f"{root}/{n}" for n in ("raw", "processed", "quarantine")]
+    first = ingest_files(spark, *args, max_files_per_batch=4, checkpoint=f"{root}/ckpt")
+    quarantined = spark.read.parquet(args[2]).count()
+    again = ingest_files(spark, *args, max_files_per_batch=4, checkpoint=f"{root}/ckpt")
+    assert first.files > 4 and again.files == 0
+    assert spark.read.parquet(args[2]).count() == quarantined
