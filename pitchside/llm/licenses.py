@@ -18,7 +18,8 @@ Defined results: null text has no segments; a null path has no directory
 and inherits nothing; a tie between templates goes to the smaller licence
 name, between licence files of one directory to the better score, then the
 smaller licence and path; rows that repeat path and text are scanned alike;
-an empty table gives an empty result; extra columns are ignored.
+an empty table gives an empty result; extra columns are kept, but for those
+named as a column of ``RESERVED``, which the scan's own replace.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ MARKERS = ("(?i)licen[sc]e|copyright|copyleft|spdx|all rights reserved|public do
            "\\bcc[- ]?(by|0)\\b|permission is hereby granted|redistribution and use")
 LICENCE_FILE = "(?i)^(un)?licen[sc]e|^copying|^copyright|^notice(\\.|$)"
 MIN_SCORE = 0.5
+# Columns the scan works with or returns.
+RESERVED = {"path_key", "no_path", "text", "content", "text_key", "own_licence", "own_score", "whole", "directory",
+            "from_directory", "from_licence", "licence", "score", "origin", "licence_directory"}
 
 # Short notices and headers by SPDX name (fixed values).
 TEMPLATES = [
@@ -120,8 +124,9 @@ def scan(files: DataFrame, path: Column, text: Column, min_score: float = MIN_SC
     """One row per file: its columns, ``licence`` (null: none), ``score`` of
     its own match, ``origin`` ('own', 'inherited', 'none') and
     ``licence_directory`` it inherits from."""
-    keyed = files.withColumns({"path_key": F.coalesce(path.cast("string"), F.lit("")),
-                               "no_path": path.isNull(), "text": text.cast("string")})
+    keyed = files.select(*[f"`{c}`" for c in files.columns if c.lower() not in RESERVED],
+                         F.coalesce(path.cast("string"), F.lit("")).alias("path_key"),
+                         path.isNull().alias("no_path"), text.cast("string").alias("text"))
     keyed = keyed.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     # the texts are searched once; all that follows reads the segments found
     named = (segments(keyed.select("path_key", "text_key", "text"))
@@ -134,7 +139,7 @@ def scan(files: DataFrame, path: Column, text: Column, min_score: float = MIN_SC
                F.coalesce(F.max(F.col("kind") == "whole"), F.lit(False)).alias("whole")))
     own = own.select("path_key", "text_key", F.col("own.licence").alias("own_licence"),
                      F.col("own.score").alias("own_score"), "whole")
-    matched = (keyed.drop("text", "content").join(own, ["path_key", "text_key"], "left")
+    matched = (keyed.drop("text").join(own, ["path_key", "text_key"], "left")
                .withColumn("directory", F.when(~F.col("no_path"), directory_of(F.col("path_key")))).checkpoint())
     name = F.regexp_extract("path_key", "[^/]*$", 0)
     licence_file = (F.col("whole") & ~F.contains(name, F.lit("."))) | name.rlike(LICENCE_FILE)

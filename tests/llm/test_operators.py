@@ -199,3 +199,16 @@ def test_repeated_rows_and_stage_columns(spark, docs):
     assert jaccard.keep_one(twice).filter("doc_id = 10").count() == 1
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, twice, "").columns == docs.columns
+
+
+def test_clashing_columns_of_files_and_pages(spark):
+    files = spark.createDataFrame([("p/LICENSE", "Released under the MIT License.", "u", 1, "own", "k"), ("p/a.py", "", "u", 2, "x", "k")],
+                                  "path string, body string, Licence string, whole int, origin string, keep string")
+    got = {r["path"]: r for r in licenses.scan(files, F.col("path"), F.col("body")).collect()}
+    assert got["p/a.py"]["licence"] == "MIT" and got["p/a.py"]["origin"] == "inherited" and got["p/a.py"]["keep"] == "k"
+    pages = spark.createDataFrame([(1, "x://a.com/b", "<p>A", "t", "h", 7), (2, None, None, None, None, None), (2, None, None, None, None, None)],
+                                  "page_id long, url string, html string, text string, host string, n_chars long")
+    for make in (html.extract, urls.judge):
+        assert make(pages).count() == 3 and make(pages.limit(0)).count() == 0
+    got = html.extract(pages).orderBy("page_id").collect()
+    assert [(r["text"], r["n_chars"]) for r in got] == [("A", 1), ("", 0), ("", 0)]
