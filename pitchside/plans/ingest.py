@@ -7,7 +7,8 @@ micro-batch of the file stream) and
 2. derives per-file facts (corrupt, empty, required keys present) with a
    per-file aggregate (file counts are shuffled, never events);
 3. evaluates all row rules in one scan (lazy: every failure is reported);
-4. keeps, per match, only the newest restatement (``__v<n>``) in the batch;
+4. keeps, per match, only the newest valid restatement (``__v<n>``) of this
+   and all earlier batches; the others are reported as ``superseded``;
 5. splits rows by file: a file with any failure is rejected whole; the
    bad-file key set is bounded by the number of input files, so it is
    broadcast and the events are never shuffled for the split;
@@ -22,7 +23,8 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
@@ -69,6 +71,23 @@ def _staged_output(accepted: DataFrame, matches: DataFrame | None, core_only: bo
     return out.select(*cols)
 
 
+def versions_path(processed_dir: str) -> str:
+    """Folder beside the processed store with the version of each restated match."""
+    return processed_dir.rstrip("/") + "_versions"
+
+
+def stored_versions(spark: SparkSession, processed_dir: str) -> DataFrame | None:
+    """(match_id, version) of restatements of earlier batches; matches that
+    were never restated (version 0) have no row, so the table stays small."""
+    try:
+        stored = spark.read.schema("match_id bigint, version decimal(38,0)").parquet(versions_path(processed_dir))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return stored.select("match_id", "version")
+
+
 def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, layout: str = "array",
                  batch_key: str | None = None, matches: DataFrame | None = None,
                  max_files: int | None = None, core_only: bool = False,
@@ -99,16 +118,26 @@ def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, l
         else:
             invalid = viol.select("unit").distinct()
         # restatements: of a match's valid files in this batch the newest is kept
+        # unless an earlier batch stored a newer one
         valid = facts.join(invalid, "unit", "left_anti")
-        latest = valid.groupBy("match_id").agg(F.max("version").alias("version"))
-        stale = valid.join(latest, ["match_id", "version"], "left_anti").select("unit")
-        bad_units = invalid.unionByName(stale).distinct()
+        known = valid.select("match_id", "version")
+        stored = stored_versions(raw_rows.sparkSession, processed_dir)
+        if stored is not None:
+            known = known.unionByName(stored.join(known.select("match_id").distinct(), "match_id", "left_semi"))
+        latest = known.groupBy("match_id").agg(F.max("version").alias("version"))
+        stale = valid.join(latest, ["match_id", "version"], "left_anti")
+        bad_units = invalid.unionByName(stale.select("unit")).distinct()
+        viol = viol.unionByName(stale.select(
+            "unit", "match_id", F.lit("superseded").alias("rule"), F.lit("version").alias("column_name"),
+            F.col("version").cast("string").alias("value")))
 
         accepted, _ = Q.split_by_file(rows, bad_units, file_col="unit", max_files=max_files)
         obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
         out = _staged_output(accepted, matches, core_only).observe(obs, F.count(F.lit(1)).alias("rows"))
         write_partitioned(out, processed_dir, ["match_id"])
         write_quarantine(viol, quarantine_dir, batch_key)
+        restated = valid.filter("version > 0").groupBy("match_id").agg(F.max("version").alias("version"))
+        write_partitioned(restated.withColumn("batch", F.lit(batch_key)), versions_path(processed_dir), ["batch"])
 
         counts = facts.agg(F.count(F.lit(1)).alias("files")).first()
         n_bad = bad_units.count()
@@ -129,7 +158,8 @@ def ingest_files(spark, raw_dir: str, processed_dir: str, quarantine_dir: str, l
     as an ``availableNow`` stream over the same folder: bounded micro-batches
     (bounded cache, bounded broadcast of bad-file keys). A failed backfill
     resumes where it stopped if called again with the same ``checkpoint``;
-    without one each call starts over. (Lines layout: a match folder must not straddle two batches.)
+    without one each call starts over. The division into batches does not
+    change what is stored.
     """
     rows = R.read_raw_files(spark, raw_dir, layout)
     n_files = len(rows.inputFiles())  # file listing only (driver metadata), bounds the bad-file set

@@ -32,7 +32,7 @@ def unit_match_id(path: Column) -> Column:
     from_name = F.regexp_extract(path, r"match_([0-9]+)(__v[0-9]+)?\.json$", 1)
     from_dir = F.regexp_extract(path, _PART_ID, 1)
     digits = F.when(from_name != "", from_name).when(from_dir != "", from_dir)
-    return digits.cast("bigint")
+    return digits.try_cast("bigint")
 
 
 def _reader(spark: SparkSession, layout: str, stream: bool, max_files_per_trigger: int | None):
@@ -47,7 +47,7 @@ def _reader(spark: SparkSession, layout: str, stream: bool, max_files_per_trigge
     return r.schema(schema)
 
 
-def read_raw_files(spark: SparkSession, root: str, layout: str = "array", stream: bool = False,
+def read_raw_files(spark: SparkSession, root: str | list[str], layout: str = "array", stream: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Rows of raw JSON with their source: (file_path, v, corrupt).
 
@@ -106,7 +106,7 @@ def file_rejections(facts: DataFrame, required: list[str] = REQUIRED_KEYS) -> Da
     """File-level failures: (unit, match_id, rule, column_name, value)."""
     reasons = [
         F.struct(F.lit("bad_key").alias("rule"), F.lit("unit").alias("column_name"),
-                 F.col("match_id").isNull().alias("failed")),
+                 (F.col("match_id").isNull() | F.col("version").isNull()).alias("failed")),
         F.struct(F.lit("corrupt").alias("rule"), F.lit(None).cast("string").alias("column_name"),
                  (F.col("corrupt") == 1).alias("failed")),
         F.struct(F.lit("empty").alias("rule"), F.lit(None).cast("string").alias("column_name"),

@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.ingest import BatchResult, ingest_batch
 from ..sources.raw_json import read_raw_files
@@ -26,19 +28,31 @@ from ..sources.raw_json import read_raw_files
 
 @dataclass
 class StreamRun:
-    batches: list[BatchResult] = field(default_factory=list)
+    """Counts by micro-batch; a retried one replaces its own. A lines folder
+    that spans several micro-batches is stored once and counted in each."""
+    batches: dict[int, BatchResult] = field(default_factory=dict)
 
     @property
     def files(self) -> int:
-        return sum(b.files for b in self.batches)
+        return sum(b.files for b in self.batches.values())
 
     @property
     def rejected_files(self) -> int:
-        return sum(b.rejected_files for b in self.batches)
+        return sum(b.rejected_files for b in self.batches.values())
 
     @property
     def accepted_rows(self) -> int:
-        return sum(b.accepted_rows for b in self.batches)
+        return sum(b.accepted_rows for b in self.batches.values())
+
+
+def whole_folders(batch: DataFrame) -> DataFrame:
+    """All files of every folder a micro-batch touches: in the lines layout
+    the folder is one match, written and rejected as a whole, so a folder
+    that spans micro-batches is read again with the files that came before.
+    The folder list is bounded by the files of one trigger."""
+    folder = F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1).alias("folder")
+    folders = [unquote(r["folder"]) for r in batch.select(folder).distinct().collect()]
+    return read_raw_files(batch.sparkSession, folders, "lines") if folders else batch
 
 
 def start_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, quarantine_dir: str,
@@ -53,11 +67,13 @@ def start_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, q
     stream_name = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if layout == "lines":
+            batch = whole_folders(batch)
         # same checkpoint + same batch id on a retry -> same quarantine partition
-        run.batches.append(ingest_batch(batch, processed_dir, quarantine_dir, layout,
-                                        f"{stream_name}-{batch_id:08d}", matches,
-                                        max_files=max_files_per_trigger, core_only=core_only,
-                                        reject=reject))
+        run.batches[batch_id] = ingest_batch(batch, processed_dir, quarantine_dir, layout,
+                                             f"{stream_name}-{batch_id:08d}", matches,
+                                             max_files=max_files_per_trigger or None, core_only=core_only,
+                                             reject=reject)
 
     w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -53,6 +53,47 @@ def test_restart_processes_only_new_files(spark):
     assert got == {1: 2, 2: 1}
 
 
+def test_lines_folder_over_several_batches_is_stored_whole(spark):
+    root = scratch_path(spark, "s_straddle")
+    folder = os.path.join(root, "raw", "match_id=1")
+    os.makedirs(folder)
+    for part in range(3):
+        with open(os.path.join(folder, f"part-{part}.json"), "w") as f:
+            f.writelines(json.dumps(_flat(10 * part + i)) + "\n" for i in range(4))
+    run = run_ingest_stream(spark, os.path.join(root, "raw"), os.path.join(root, "p"), os.path.join(root, "q"),
+                            os.path.join(root, "ck"), "lines", max_files_per_trigger=1)
+    stored = spark.read.parquet(os.path.join(root, "p"))
+    assert len(run.batches) == 3
+    assert (stored.count(), stored.select("event_id").distinct().count()) == (12, 12)
+
+
+def test_older_restatement_of_a_later_batch_is_superseded(spark):
+    root = scratch_path(spark, "s_order")
+    out = [os.path.join(root, n) for n in ("p", "q")]
+    for name, team in (("match_1__v2", "NEW"), ("match_1", "OLD"), ("match_1__v3", "LAST")):
+        raw = os.path.join(root, f"raw-{name}")
+        os.makedirs(raw)
+        with open(os.path.join(raw, f"{name}.json"), "w") as f:
+            json.dump([_flat(1, team=team)], f)
+        ingest_files(spark, raw, *out)
+        expected = "NEW" if team == "OLD" else team
+        assert [r.team_name for r in spark.read.parquet(out[0]).collect()] == [expected]
+    late = spark.read.parquet(out[1]).collect()
+    assert [(r.match_id, r.rule, r.value) for r in late] == [(1, "superseded", "0")]
+
+
+def test_version_of_too_many_digits_is_rejected(spark):
+    root = scratch_path(spark, "s_digits")
+    raw = os.path.join(root, "raw")
+    os.makedirs(raw)
+    for name in ("match_1", "match_1__v" + "9" * 60, "match_" + "9" * 30):
+        with open(os.path.join(raw, f"{name}.json"), "w") as f:
+            json.dump([_flat(1)], f)
+    res = ingest_files(spark, raw, os.path.join(root, "p"), os.path.join(root, "q"))
+    assert (res.files, res.rejected_files) == (3, 2)
+    assert {r.rule for r in spark.read.parquet(os.path.join(root, "q")).collect()} == {"bad_key"}
+
+
 def test_stream_alarm_equals_batch(spark):
     root = scratch_path(spark, "s_alarm")
     ev = read_table(spark, SF0001, "events")
