@@ -23,7 +23,6 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,12 +78,10 @@ def versions_path(processed_dir: str) -> str:
 def stored_versions(spark: SparkSession, processed_dir: str) -> DataFrame | None:
     """(match_id, version) of restatements of earlier batches; matches that
     were never restated (version 0) have no row, so the table stays small."""
-    try:
-        stored = spark.read.schema("match_id bigint, version decimal(38,0)").parquet(versions_path(processed_dir))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = spark._jvm.org.apache.hadoop.fs.Path(versions_path(processed_dir))
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
+    stored = spark.read.schema("match_id bigint, version decimal(38,0)").parquet(versions_path(processed_dir))
     return stored.select("match_id", "version")
 
 
