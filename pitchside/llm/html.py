@@ -2,13 +2,17 @@
 
 A page is read once as a stream of parser events and cut into lines, one
 per block element, each with its text, the tags inside it and how much of it
-is link text. The ratio of text to tags per line is smoothed with a Gaussian
-and the lines are split into two clusters by a threshold; the lines of the
-upper cluster are the content regions. What the markup itself names as
-something else (menus, headers, footers, asides, adverts, notices, forms,
-scripts, comments) takes part in the smoothing with ratio 0 and is never
-content. A page that marks its article or main part has its content there,
-and all lines of that part lie in the upper cluster.
+is link text. The ratio of unlinked text to tags per line is smoothed with a
+Gaussian and the lines are split into two clusters by a threshold on the
+logarithm of that level; the lines of the upper cluster are the content
+regions. The lower cluster lies at 0, the level of lines without text.
+What the markup itself names as something else (menus, headers, footers,
+asides, adverts, notices, forms, scripts, comments) takes part with ratio 0
+and is never content. ``article`` and ``main`` raise the level of their lines
+by ``SEED`` and decide nothing alone: a list of links in an article falls
+into the lower cluster, and a story beside a teaser article is kept. A short
+advert or notice without a telling name that stands between paragraphs is
+smoothed into them and stays.
 
 Pages are independent: one Arrow pass, no shuffle. Defined results: null or
 empty html has the empty text; markup that ends early is read as far as it
@@ -26,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIGMA = 1.0
-SPREAD = 4.0  # the two clusters count as two if their means differ by this factor
+SEED = 32.0  # an article or main part raises the level of its lines by this factor
 LINK_SHARE = 0.6
+LIST_SHARE = 0.63  # smoothed: below it a linked line has no linked neighbour
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset
@@ -153,21 +158,15 @@ def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
-def threshold(values: list[float], spread: float = SPREAD) -> float:
-    """Two-means split of positive values; 0 if they form one cluster."""
-    if not values or min(values) == max(values):
-        return 0.0
-    low, high = min(values), max(values)
+def threshold(values: list[float]) -> float:
+    """Two-means split of levels whose lower cluster lies at 0."""
+    high = max(values, default=0.0)
     for _ in range(32):
-        cut = (low + high) / 2
-        below, above = [v for v in values if v < cut], [v for v in values if v >= cut]
-        if not below or not above:
-            return 0.0
-        new = sum(below) / len(below), sum(above) / len(above)
-        if new == (low, high):
+        above = [v for v in values if v >= high / 2]
+        if not above or sum(above) / len(above) == high:
             break
-        low, high = new
-    return (low + high) / 2 if high > spread * low else 0.0
+        high = sum(above) / len(above)
+    return high / 2
 
 
 def lines_of(html: str) -> list[tuple[str, Line]]:
@@ -185,15 +184,15 @@ def lines_of(html: str) -> list[tuple[str, Line]]:
 def main_text(html: str | None) -> str:
     """The content lines of a page, joined by an empty line."""
     lines = lines_of(html or "")
-    if any(line.marked and not line.skipped for _, line in lines):
-        usable = [line.marked and not line.skipped for _, line in lines]
-        floor = True
-    else:
-        usable = [not line.skipped and line.linked <= LINK_SHARE * len(text) for text, line in lines]
-        floor = False
-    ratios = [len(text) / max(1, line.tags) if use else 0.0 for (text, line), use in zip(lines, usable)]
-    level = smoothed(ratios)
-    cut = 0.0 if floor else threshold([v for v, use in zip(level, usable) if use])
+    shares = [line.linked / len(text) for text, line in lines]
+    # a lone linked line inside an article is no list of links
+    usable = [not line.skipped and (share <= LINK_SHARE or line.marked and near <= LIST_SHARE)
+              for (_, line), share, near in zip(lines, shares, smoothed(shares))]
+    ratios = [max(0, len(text) - line.linked) / max(1, line.tags) if use else 0.0
+              for (text, line), use in zip(lines, usable)]
+    level = [math.log1p(v * (SEED if line.marked else 1.0)) if use else 0.0
+             for v, (_, line), use in zip(smoothed(ratios), lines, usable)]
+    cut = threshold(level)
     return "\n\n".join(text for (text, _), use, v in zip(lines, usable, level) if use and v >= cut)
 
 

@@ -165,6 +165,15 @@ def test_html_regions():
     assert html.main_text(plain) == ("long text " * 20).strip()
 
 
+def test_html_article_does_not_decide():
+    story = "<p>" + "some long text " * 20 + "</p>"
+    links = "<ul class=zz>" + "".join(f"<li><a href=/{n}>Other story {n}</a></li>" for n in range(5)) + "</ul>"
+    kept = ("some long text " * 20).strip()
+    assert html.main_text(f"<article>{story}{links}</article>") == kept
+    assert html.main_text(f"<article><h1><a href=/>Top</a></h1>{story}</article>") == f"Top\n\n{kept}"
+    assert kept in html.main_text(f"<article><h2>More</h2><p>Short teaser text.</p></article><div>{story * 3}</div>")
+
+
 def test_licences_and_inheritance(spark):
     files = spark.createDataFrame([
         ("p/LICENSE", "Released under the MIT License."), ("p/src/a.py", "x = 1"), ("p/src/b.py", "# Licensed under the Apache License, Version 2.0."),
