@@ -1,12 +1,17 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance from
 the nearest ancestor directory.
 
-Every line of a file that names a licence (whole texts, not only their
-heads) and the whole text of every file that has such a line are compared
-with the templates. Equal segments are scored once. Weights are TF-IDF over
-the segments and templates; vectors stay sparse rows (segment, term), and
-only terms that a template has meet a template. The template vectors are a
-broadcast bounded by ``TEMPLATES``.
+Segments of a file are its whole text, its blocks (runs of lines that are
+not empty without their comment marks) and every window of up to
+``MAX_LINES`` joined lines of a block, so a wrapped header is one segment.
+A segment is scored if its telling terms (all but ``PLAIN``) are near those
+of some template: the share of common terms, over the geometric mean of both
+counts, reaches ``MIN_NEAR``. A file with such a segment has its whole text
+scored too. Equal segments are scored once. Weights are
+TF-IDF over the segments and templates, the term frequency by its logarithm;
+vectors stay sparse rows (segment, term), and only terms that a template has
+meet a template. The template vectors are a broadcast bounded by
+``TEMPLATES`` and the licence texts.
 
 A file is a licence file if its name says so, or if its name has no
 extension and its whole text is like a template; it then licenses its
@@ -24,13 +29,25 @@ named as a column of ``RESERVED``, which the scan's own replace.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from math import sqrt
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MARKERS = ("(?i)licen[sc]e|copyright|copyleft|spdx|all rights reserved|public domain|creative ?commons|"
-           "\\bcc[- ]?(by|0)\\b|permission is hereby granted|redistribution and use")
 LICENCE_FILE = "(?i)^(un)?licen[sc]e|^copying|^copyright|^notice(\\.|$)"
 MIN_SCORE = 0.5
+MIN_NEAR = 0.3
+MAX_LINES = 16
+LONG = 200  # a template of more telling terms meets blocks over MAX_LINES and whole texts only
+# Terms that tell nothing of a licence (fixed values).
+PLAIN = frozenset("""a an and any are as at be been by can for from has have if in is it its not of on or such that the
+this to was were which with you your""".split())
+TERM = re.compile("[^\\W_]+(?:[.-][^\\W_]+)*")
+MARKS = re.compile("^\\s*(?:/\\*+|\\*+/|\\*+|//+|#+|--+|;+|%+|<!--|\"\"\"|'''|rem\\b|dnl\\b)?\\s*|\\s*(?:\\*+/|-->|\"\"\"|''')?\\s*$", re.I)
 # Columns the scan works with or returns.
 RESERVED = {"path_key", "no_path", "text", "content", "text_key", "own_licence", "own_score", "whole", "directory",
             "from_directory", "from_licence", "licence", "score", "origin", "licence_directory"}
@@ -61,6 +78,52 @@ TEMPLATES = [
     ("CC0-1.0", "To the extent possible under law, all copyright is waived, dedicated to the public domain, CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "Copyright. All rights reserved."),
+    # headers as they stand wrapped in files
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+                   "writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT "
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+                   "language governing permissions and limitations under the License."),
+    *[(name, f"This {thing} is free software; you can redistribute it and/or modify it under the terms of the GNU "
+             f"{kind}General Public License as published by the Free Software Foundation; either version {version} "
+             "of the License, or (at your option) any later version.")
+      for name, thing, kind, version in [
+          ("GPL-2.0", "program", "", "2"), ("GPL-3.0", "program", "", "3"), ("AGPL-3.0", "program", "Affero ", "3"),
+          ("LGPL-2.1", "library", "Lesser ", "2.1"), ("LGPL-3.0", "library", "Lesser ", "3")]],
+    # whole licences
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
+copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    *[(name, """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
+list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. """ + clause + """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER
+IN CONTRACT, STRICT LIABILITY, OR TORT ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE.""")
+      for name, clause in [("BSD-2-Clause", ""), ("BSD-3-Clause", "Neither the name of the copyright holder nor the names "
+                            "of its contributors may be used to endorse or promote products derived from this software "
+                            "without specific prior written permission. ")]],
+    # licences of many pages, one file each
+    *[(path.stem, path.read_text()) for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))],
 ]
 
 
@@ -68,15 +131,64 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}]+(?:[.-][\\p{L}\\p{N}]+)*"), F.lit(0))
 
 
-def segments(files: DataFrame) -> DataFrame:
-    """(row key, kind, segment) of every licence line and of the whole text
-    of the files that have one."""
-    marked = files.filter(F.col("text").rlike(MARKERS))
-    lines = F.transform(F.filter(F.split("text", "\n"), lambda x: x.rlike(MARKERS)),
-                        lambda x: F.struct(F.lit("line").alias("kind"), F.trim(x).alias("segment")))
-    whole = F.array(F.struct(F.lit("whole").alias("kind"), F.col("text").alias("segment")))
-    return marked.select("path_key", "text_key", F.explode(F.concat(lines, whole)).alias("s")).select(
-        "path_key", "text_key", "s.kind", "s.segment")
+def finder(templates: list[tuple[str, str]]):
+    """A function from a text to its (kind, segment) near a template."""
+    telling = lambda text: set(TERM.findall(text.lower())) - PLAIN
+    sets = sorted({tuple(sorted(telling(t))) for _, t in templates})
+    having: dict[str, list[int]] = {}  # the short templates of a term
+    all_having: dict[str, list[int]] = {}
+    for n, terms in enumerate(sets):
+        for term in terms:
+            all_having.setdefault(term, []).append(n)
+            if len(terms) <= LONG:
+                having.setdefault(term, []).append(n)
+
+    def near(terms: set[str], index: dict[str, list[int]] = having) -> bool:
+        common = Counter(n for term in terms & index.keys() for n in index[term])
+        return any(k >= MIN_NEAR * sqrt(len(terms) * len(sets[n])) for n, k in common.items())
+
+    def found(text: str | None) -> set[tuple[str, str]]:
+        whole = telling(text or "")
+        if whole.isdisjoint(all_having):
+            return set()
+        out = {("whole", text)} if near(whole, all_having) else set()
+        block: list[tuple[str, set[str]]] = []
+        for line in [*text.split("\n"), ""]:
+            line = MARKS.sub("", line)
+            if line:
+                block.append((line, telling(line)))
+                continue
+            # a window starts and ends at a line with a term of a template
+            hits = [not terms.isdisjoint(having) for _, terms in block]
+            for at in (n for n, hit in enumerate(hits) if hit):
+                terms: set[str] = set()
+                for end in range(at, min(at + MAX_LINES, len(block))):
+                    terms |= block[end][1]
+                    if hits[end] and near(terms):
+                        out.add(("lines", " ".join(x for x, _ in block[at:end + 1])))
+            if len(block) > MAX_LINES and near(set().union(*[terms for _, terms in block]), all_having):
+                out.add(("lines", " ".join(x for x, _ in block)))
+            block = []
+        return out | {("whole", text)} if out else out
+
+    return found
+
+
+def segments(files: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
+    """(row key, kind, segment) of every segment near a template."""
+    def search(batches):
+        found = finder(templates)
+        names = ["path_key", "text_key", "kind", "segment"]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                rows = [(path, key, *x) for path, key, text in zip(*[part.column(c).to_pylist() for c in (
+                    "path_key", "text_key", "text")]) for x in sorted(found(text))]
+                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], kind) for n, kind in enumerate(
+                    (pa.string(), pa.int64(), pa.string(), pa.string()))], names=names)
+
+    return files.select("path_key", "text_key", "text").mapInArrow(
+        search, "path_key string, text_key long, kind string, segment string")
 
 
 def scores(distinct: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
@@ -85,7 +197,7 @@ def scores(distinct: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
     known = spark.createDataFrame([(f"t{n}", name, text) for n, (name, text) in enumerate(templates)],
                                   "segment_key string, licence string, segment string")
     counted = lambda rows: (rows.select("segment_key", F.explode(terms_of(F.col("segment"))).alias("term"))
-                            .groupBy("segment_key", "term").agg(F.count(F.lit(1)).alias("tf")))
+                            .groupBy("segment_key", "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf")))
     found, given = counted(distinct), counted(known)
     documents = found.unionByName(given)
     df = documents.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -129,7 +241,7 @@ def scan(files: DataFrame, path: Column, text: Column, min_score: float = MIN_SC
                          path.isNull().alias("no_path"), text.cast("string").alias("text"))
     keyed = keyed.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     # the texts are searched once; all that follows reads the segments found
-    named = (segments(keyed.select("path_key", "text_key", "text"))
+    named = (segments(keyed.select("path_key", "text_key", "text"), templates or TEMPLATES)
              .withColumn("segment_key", F.sha2("segment", 256)).checkpoint())
     best = scores(named.select("segment_key", "segment").dropDuplicates(["segment_key"]),
                   templates or TEMPLATES).filter(F.col("score") >= min_score)

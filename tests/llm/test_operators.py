@@ -184,6 +184,23 @@ def test_licences_and_inheritance(spark):
     assert got["q/a.py"] == (None, "none") and got[None] == (None, "none")
 
 
+def test_licences_wrapped_and_whole(spark):
+    code = "\n\n" + "\n".join(f"value_{n} = compute(value_{n - 1}, other)" for n in range(60))
+    mpl = ("// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the "
+           "MPL was not distributed with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+    gpl = ("# helper\n# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU "
+           "General Public License as published by\n# the Free Software Foundation; either version 2 of the License, or\n"
+           "# (at your option) any later version.")
+    isc = dict(licenses.TEMPLATES[:13])["ISC"]
+    mit = [t for name, t in licenses.TEMPLATES if name == "MIT"][-1]
+    files = spark.createDataFrame([("a/x.js", mpl + code), ("b/x.py", gpl + code), ("c/x.c", isc),
+                                   ("d/LICENSE", "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + mit), ("d/y.py", "y = 1"),
+                                   ("e/z.py", code), ("f/GPL", dict(licenses.TEMPLATES[-7:])["GPL-2.0"])], "path string, body string")
+    got = {r["path"]: r["licence"] for r in licenses.scan(files, F.col("path"), F.col("body")).collect()}
+    assert got == {"a/x.js": "MPL-2.0", "b/x.py": "GPL-2.0", "c/x.c": "ISC", "d/LICENSE": "MIT", "d/y.py": "MIT",
+                   "e/z.py": None, "f/GPL": "GPL-2.0"}
+
+
 def test_mix_shares_shortage_among_siblings(spark):
     rows = [(n, "w " * 10, "en", "a" if n < 90 else "b", 20) for n in range(100)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
