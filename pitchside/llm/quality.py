@@ -4,20 +4,22 @@ Native: one DataFrame projection per document, no Python on the executors.
 A document passes if its base counts pass and its histogram of character
 classes and of common words stays close (Jensen-Shannon divergence) to that
 of all documents of its language. The references are sums over the whole
-table, one row per language of ``COMMON_WORDS`` plus one for all others, so
-their broadcast is bounded by that parameter. Short documents are guarded:
+table, one row per value of ``lang``, which bounds their broadcast; the
+common words of a language without an entry in ``COMMON_WORDS`` are its most
+frequent words. Short documents are guarded:
 a histogram is judged from a minimum number of words on, and its limit grows
 with the sampling spread of few words.
 
-Defined results: null text has no words and fails the base rules; a null or
-unknown language is compared with the reference of all such documents by
-its character classes alone; repeated rows are judged alike; extra columns
+Defined results: null text has no words and fails the base rules; documents
+with a null language are compared with each other, whatever they hold; a
+language of few documents is judged mildly, as they make its reference;
+repeated rows are judged alike; extra columns
 are kept by ``keep`` and ignored by ``judge``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .exprs import SPACE, jsd, let, words_of
@@ -29,7 +31,8 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "sur"],
     "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por", "con", "para", "una", "no"],
 }
-OTHER = "other"
+N_COMMON = max(len(v) for v in COMMON_WORDS.values())
+NO_LANG = ""
 WINDOW = 5
 BASE_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 # A verdict needs more than ``limit + spread / n_words``: a sample of n words
@@ -54,9 +57,13 @@ def class_counts(solid: Column) -> Column:
     return let(F.regexp_replace(solid, "\\p{Ll}+", ""), rest)
 
 
+def bare(word: Column) -> Column:
+    return F.rtrim(F.lower(word), F.lit(".,;:!?"))
+
+
 def common_counts(words: Column, common: Column) -> Column:
     """How often each common word occurs, and last all other words."""
-    low = F.transform(words, lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?")))
+    low = F.transform(words, bare)
     hits = F.filter(low, lambda w: F.array_contains(common, w))
     return let(hits, lambda h: F.concat(
         F.transform(common, lambda c: F.size(F.filter(h, lambda w: w == c)).cast("long")),
@@ -91,36 +98,42 @@ def repeated_window_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def _with_text(docs: DataFrame) -> DataFrame:
-    """Add the language known to the rules, words and solid text."""
-    known = F.when(F.col("lang").isin(list(COMMON_WORDS)), F.col("lang")).otherwise(OTHER)
+    """Add the language, words and solid text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({"__lang": known, "__text": text}).withColumns({
+    return docs.withColumns({"__lang": F.coalesce(F.col("lang"), F.lit(NO_LANG)), "__text": text}).withColumns({
         "__words": words_of(F.col("__text")),
         "__solid": F.regexp_replace("__text", SPACE + "+", "")})
 
 
 def _languages(docs: DataFrame) -> DataFrame:
-    rows = [(k, v) for k, v in COMMON_WORDS.items()] + [(OTHER, [])]
-    return docs.sparkSession.createDataFrame(rows, "__lang string, __common array<string>")
+    """Common words of every language: the fixed ones, or the most frequent
+    words of its documents."""
+    known = docs.sparkSession.createDataFrame(list(COMMON_WORDS.items()), "__lang string, __common array<string>")
+    counted = (_with_text(docs).filter(~F.col("__lang").isin(list(COMMON_WORDS)))
+               .select("__lang", F.explode("__words").alias("word")).withColumn("word", bare(F.col("word")))
+               .filter("word != ''").groupBy("__lang", "word").agg(F.count(F.lit(1)).alias("n")))
+    order = Window.partitionBy("__lang").orderBy(F.desc("n"), "word")
+    top = counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= N_COMMON)
+    found = top.groupBy("__lang").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"]).alias("__common"))
+    return known.unionByName(found)
 
 
 def _histograms(docs: DataFrame, languages: DataFrame) -> DataFrame:
     return (_with_text(docs).join(F.broadcast(languages), "__lang", "left")
+            .withColumn("__common", F.coalesce("__common", F.array().cast("array<string>")))
             .withColumns({"__classes": class_counts(F.col("__solid")),
                           "__commons": common_counts(F.col("__words"), F.col("__common"))}))
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """Summed histograms of all documents, one row per known language."""
-    languages = _languages(docs)
-    size = max(len(v) for v in COMMON_WORDS.values()) + 1
+    """Summed histograms of all documents, one row per language."""
     total = lambda name, n: F.array(*[
         F.coalesce(F.sum(F.get(F.col(name), F.lit(i))), F.lit(0)) for i in range(n)])
-    sums = (_histograms(docs, languages).groupBy("__lang")
-            .agg(total("__classes", 5).alias("__ref_classes"), total("__commons", size).alias("__ref_commons")))
-    return languages.join(sums, "__lang", "left").select(
-        "__lang", "__common", "__ref_classes",
-        F.slice("__ref_commons", 1, F.size("__common") + 1).alias("__ref_commons"))
+    sums = (_histograms(docs, _languages(docs)).groupBy("__lang", "__common")
+            .agg(total("__classes", 5).alias("__ref_classes"), total("__commons", N_COMMON + 1).alias("__ref_commons")))
+    return sums.select("__lang", "__common", "__ref_classes",
+                       F.slice("__ref_commons", 1, F.size("__common") + 1).alias("__ref_commons"))
 
 
 def judged(docs: DataFrame, class_limit: float = CLASS_LIMIT, class_spread: float = CLASS_SPREAD,

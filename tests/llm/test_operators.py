@@ -115,6 +115,18 @@ def test_quality_counts_and_guards(docs):
         assert not (got[k]["base_failed"] and got[k]["kept"])
 
 
+def test_quality_of_further_languages(spark):
+    rng = np.random.default_rng(5)
+    rare = lambda n: ["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(n)]
+    clean = lambda common: " ".join(rng.permutation(list(rng.choice(common, 60)) + rare(60)))
+    rows = [(n, clean(["nie", "jest", "oraz", "ale"]), "pl") for n in range(40)]
+    rows += [(100 + n, " ".join("".join(chr(0x4E00 + c) for c in rng.integers(0, 200, 3)) for _ in range(120)), "zh") for n in range(3)]
+    rows += [(200, " ".join(rare(120)), "pl")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in quality.judge(docs).filter("kept").collect()}
+    assert kept == {*range(40), 100, 101, 102}
+
+
 def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
