@@ -34,7 +34,7 @@ from .exprs import words_of
 from .keys import KEY, doc_id_of, key_columns, with_arrays
 
 LEVELS = ["domain", "lang", "source"]
-# Targets of the query: weights of languages; all other nodes weigh 1.
+# Targets of the query: weights of languages; nodes without a given weight weigh 1.
 LANG_WEIGHTS = {"en": 4, "de": 2, "fr": 2, "es": 2}
 MAX_EPOCHS = 4
 SEED = 7
@@ -50,11 +50,12 @@ def word_tokens(text: Column) -> Column:
     return F.size(words_of(F.coalesce(text, F.lit("")))).cast("long")
 
 
-def weight_of(column: Column, weights: dict[str, int]) -> Column:
-    out = F.lit(1)
-    for name, weight in weights.items():
-        out = F.when(column == name, weight).otherwise(out)
-    return out.cast("long")
+def weighted(nodes: DataFrame, key: str, weights: dict[str, int] | None) -> DataFrame:
+    """Add ``weight`` from a joined table of node names; others weigh 1."""
+    if any(w < 1 for w in (weights or {}).values()):
+        raise ValueError(f"weights of {key} must be 1 or more")
+    table = nodes.sparkSession.createDataFrame(list((weights or {}).items()), f"{key} string, weight long")
+    return nodes.join(F.broadcast(table), key, "left").withColumn("weight", F.coalesce("weight", F.lit(1).cast("long")))
 
 
 def share(nodes: DataFrame, parent: list[str], key: str) -> DataFrame:
@@ -77,7 +78,8 @@ def share(nodes: DataFrame, parent: list[str], key: str) -> DataFrame:
     return rows.withColumn("granted", F.when(F.col("__full"), F.col("capacity")).otherwise(part.cast("long")))
 
 
-def budgets(leaves: DataFrame, lang_weights: dict[str, int], max_epochs: int, total: int | None) -> DataFrame:
+def budgets(leaves: DataFrame, lang_weights: dict[str, int], max_epochs: int, total: int | None,
+            domain_weights: dict[str, int] | None = None, source_weights: dict[str, int] | None = None) -> DataFrame:
     """domain, lang, source, tokens, budget of every leaf."""
     leaves = leaves.filter("tokens > 0").withColumn("capacity", F.col("tokens") * max_epochs)
     langs = leaves.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity"))
@@ -86,18 +88,18 @@ def budgets(leaves: DataFrame, lang_weights: dict[str, int], max_epochs: int, to
         domains = domains.join(F.broadcast(leaves.agg(F.sum("tokens").alias("budget"))))
     else:
         domains = domains.withColumn("budget", F.lit(total).cast("long"))
-    one = F.lit(1).cast("long")
-    domains = share(domains.withColumns({"weight": one, "root": F.lit(0)}), ["root"], "domain")
+    domains = share(weighted(domains, "domain", domain_weights).withColumn("root", F.lit(0)), ["root"], "domain")
     langs = langs.join(domains.select("domain", F.col("granted").alias("budget")), "domain")
-    langs = share(langs.withColumn("weight", weight_of(F.col("lang"), lang_weights)), ["domain"], "lang")
+    langs = share(weighted(langs, "lang", lang_weights), ["domain"], "lang")
     leaves = leaves.join(langs.select("domain", "lang", F.col("granted").alias("budget")), ["domain", "lang"])
-    leaves = share(leaves.withColumn("weight", one), ["domain", "lang"], "source")
+    leaves = share(weighted(leaves, "source", source_weights), ["domain", "lang"], "source")
     return leaves.select(*LEVELS, "tokens", F.col("granted").alias("budget"))
 
 
 def mix(docs: DataFrame, total: int | None = None, lang_weights: dict[str, int] | None = None,
         max_epochs: int = MAX_EPOCHS, seed: int = SEED, domain: Column | None = None,
-        tokens: Column | None = None) -> DataFrame:
+        tokens: Column | None = None, domain_weights: dict[str, int] | None = None,
+        source_weights: dict[str, int] | None = None) -> DataFrame:
     """One row per drawn document and epoch: doc_key, text_tag, domain, lang,
     source, epoch, tokens (of the document) and taken (its first tokens).
 
@@ -113,7 +115,8 @@ def mix(docs: DataFrame, total: int | None = None, lang_weights: dict[str, int]
     # counted once: three aggregates read these light rows, none the texts
     rows = rows.dropDuplicates([*KEY, *LEVELS]).checkpoint()
     leaves = rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
-    plan = budgets(leaves, LANG_WEIGHTS if lang_weights is None else lang_weights, max_epochs, total)
+    plan = budgets(leaves, LANG_WEIGHTS if lang_weights is None else lang_weights, max_epochs, total,
+                   domain_weights, source_weights)
     plan = plan.select(*LEVELS, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("rest"))
     # the order only matters in the epoch that is cut
     placed = rows.filter("tokens > 0").join(plan, LEVELS).withColumn("place", F.md5(F.concat_ws(
@@ -139,7 +142,8 @@ def mix_stage(docs: DataFrame, **options) -> DataFrame:
     follows."""
     drawn = mix(docs, **options)
     key, tag = key_columns()
-    leaf = {f"__{n}": c for n, c in zip(LEVELS, (domain_of(F.col("source")), F.coalesce("lang", F.lit("")),
+    domain = options.get("domain")
+    leaf = {f"__{n}": c for n, c in zip(LEVELS, (domain if domain is not None else domain_of(F.col("source")), F.coalesce("lang", F.lit("")),
                                                  F.coalesce("source", F.lit(""))))}
     rows = docs.withColumns({"__doc_key": key, "__text_tag": tag, **leaf}).dropDuplicates(
         ["__doc_key", "__text_tag", *leaf])

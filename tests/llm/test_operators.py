@@ -222,6 +222,16 @@ def test_mix_shares_shortage_among_siblings(spark):
     assert mixing.mix_stage(docs, total=15).count() == 2 and mixing.mix_stage(docs, total=15).columns == docs.columns
 
 
+def test_mix_weights_of_domains_and_sources(spark):
+    rows = [(n, "w " * 10, "en", ["web1", "web2", "book1"][n % 3], 20) for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    options = {"total": 800, "domain_weights": {"book": 3}, "source_weights": {"web1": 4}}
+    taken = {r["source"]: r["t"] for r in mixing.mix(docs, **options).groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    assert taken == {"book1": 600, "web1": 160, "web2": 40}
+    by_digit = mixing.mix_stage(docs, **options, domain=F.regexp_extract("source", "[0-9]", 0))
+    assert by_digit.count() == 80
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     for make in (substring.remove_repeated, suffix.remove_repeated, jaccard.classes, quality.judge, packing.pack,
