@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, jaccard, licenses, mixing, packing, quality, substring, suffix, syncmers, urls
+from . import (divergence, html, jaccard, licenses, lines, mixing, packing, phrases, quality, substring, suffix,
+               syncmers, urls)
 from .keys import doc_id_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +76,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(lines.drop_common(table(spark, sf_dir, "documents")))
+
+
 # The budget tree in SQL: the same water-filling over window sums, with
 # huge integers; word tokens; seeded order by MD5.
 _SHARE = """
@@ -116,3 +132,60 @@ from epochs where e < whole or greatest(0, least(tokens, rest - start_)) > 0"""
 
 # Base counts in SQL would need every 5-word window of every text as a row,
 # too slow on whole tables; the tests compare them with plain Python.
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLES["op11_divergence_audit"] = rf"""
+with d as (select row_number() over () r, coalesce(lang, '') lang, coalesce(source, '') source, coalesce(text, '') x from documents),
+w as (select r, lang, source, translate(unnest(regexp_extract_all(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), {_LOWER}) term from d),
+kept as (select lang, term, count(*) k from w group by all having count(distinct r) >= {divergence.LEAST_DOCUMENTS}),
+l as (select lang, sum(k) n, count(*) v from kept group by 1),
+q as (select lang, term, 1 + (({divergence.UNIT}::hugeint * (k + {divergence.ADD})) // (n + {divergence.ADD} * v)) q from kept join l using (lang)),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) k from w join kept using (lang, term) group by all),
+gn as (select lang, source, coalesce(sum(c.k), 0) n from g left join c using (lang, source) group by all),
+p as (select gn.lang, gn.source, kept.term, coalesce(c.k, 0) k,
+  1 + (({divergence.UNIT}::hugeint * (coalesce(c.k, 0) + {divergence.ADD})) // (gn.n + {divergence.ADD} * l.v)) p
+  from gn join kept using (lang) join l using (lang)
+  left join c on c.lang = gn.lang and c.source = gn.source and c.term = kept.term),
+pairs as (select a.lang, a.source, b.source item, coalesce(sum(abs(x.p - y.p)), 0)::bigint as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join p x on x.lang = a.lang and x.source = a.source
+  left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term group by all),
+terms as (select lang, source, term item, (p - q)::bigint as value from p join q using (lang, term) where k > 0 and p > q),
+ranked as (select *, 'pair' part, row_number() over (partition by lang, source order by value desc, item) rank from pairs
+  union all by name
+  select *, 'term' part, row_number() over (partition by lang, source order by value desc, item) rank from terms)
+select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= {divergence.TOP_TERMS}"""
+
+ORACLES["op12_phrase_mining"] = rf"""
+with p as (select coalesce(lang, '{phrases.NO_LANG}') lang,
+  regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') w from documents),
+grams as (select lang, k, array_to_string(w[i:i + k - 1], ' ') phrase from (
+  select *, unnest(range(1, len(w) - k + 2)) i from p, range(1, {phrases.LONGEST + 1}) t(k))),
+f as (select lang, k::int k, phrase, count(*) a from grams group by all having count(*) >= {phrases.LEAST_COUNT}),
+n as (select lang, sum(len(w)) n from p group by 1),
+s as (select *, string_split(phrase, ' ') ws from f where k > 1),
+cuts as (select lang, phrase, k, a, unnest(range(1, k)) c, ws from s),
+priced as (select x.lang, x.phrase, x.k, x.a, c, u.a l, v.a r, ({phrases.UNIT}::hugeint * x.a) // (u.a + v.a) score from cuts x
+  join f u on u.lang = x.lang and u.phrase = array_to_string(ws[1:c], ' ')
+  join f v on v.lang = x.lang and v.phrase = array_to_string(ws[c + 1:], ' ')),
+best as (select * from priced qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+inner_ as (select lang, array_to_string(ws[i:i + m - 1], ' ') phrase, a from (
+  select *, unnest(range(1, k - m + 2)) i from s, range(2, {phrases.LONGEST}) t(m) where m < k)),
+longer as (select lang, phrase, max(a) a from inner_ group by all),
+live as (select b.* from best b left join longer o using (lang, phrase) where o.a is null or 100 * o.a < {phrases.COVERED} * b.a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from live)
+select lang, rank::int as rank, phrase, a, l, r, n::bigint as n, score::bigint as score from ranked join n using (lang) where rank <= {phrases.TOP}"""
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLES["op13_line_dedup"] = f"""
+with d as (select row_number() over () r, doc_id, coalesce(doc_id, {(1 << 63) - 1}) k, string_split(coalesce(text, ''), chr(10)) x from documents),
+c as (select r, k, unnest(x) line, generate_subscripts(x, 1) i from d),
+t as (select *, translate(trim(line, {_BLANKS}), {_LOWER}) line_key from c),
+f as (select line_key, max(k) last from t where length(line_key) >= {lines.LEAST_CHARS}
+  group by 1 having count(distinct k) >= {lines.LEAST_DOCUMENTS}),
+m as (select t.*, coalesce(last <> k, false) gone from t left join f using (line_key)),
+s as (select r, count(*) n_lines, count(*) filter (gone) n_dropped, string_agg(line, chr(10) order by i) filter (not gone) kept from m group by 1)
+select doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) as kept_sha256 from s join d using (r)"""
