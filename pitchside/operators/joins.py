@@ -32,14 +32,20 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES)
 
 
 def attach_match_context(events: DataFrame, matches: DataFrame,
-                         columns: tuple[str, ...] = ("home_team", "away_team")) -> DataFrame:
+                         columns: tuple[str, ...] = ("home_team", "away_team"),
+                         co_located: bool = False) -> DataFrame:
     """Events x match dimension on match_id (J5): one row per event.
 
     The match dimension has one row per match: tiny next to its events
     (thousands of events per match), so it is broadcast behind the size
-    check and the event side is never shuffled.
+    check and the event side is never shuffled. ``co_located``: both are
+    stored tables bucketed alike by match (``sinks.writers.write_bucketed``);
+    they are merged bucket by bucket, without an exchange of either side and
+    without a broadcast, whatever the size of the dimension.
     """
     dim = matches.select("match_id", *columns)
+    if co_located:
+        return events.join(dim.hint("merge"), "match_id", "inner")
     return events.join(broadcast_if_small(dim), "match_id", "inner")
 
 

@@ -28,14 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import (count_when, exact_mean, false_if_null, fixed_sum, is_true,
-                                 round_half, safe_pct, to_fixed, zero_if_null, FIXED_SCALE)
+from ..functions.metrics import (count_when, exact_mean, exact_sum, false_if_null, is_true, merge_states,
+                                 round_half, safe_pct, state_mean, state_sum, sum_state, zero_if_null)
 from ..functions.events import home_away, is_goal, is_on_target, time_bracket
 from ..schema import DRIBBLE, PASS, PRESSURE, SHOT
 
-_SCALE = float(10 ** FIXED_SCALE)
-
-
 def _is(t: str) -> Column:
     return F.col("event_type") == F.lit(t)
 
@@ -45,15 +42,6 @@ def _has(count_field: str):
     return lambda x: x[count_field] > 0
 
 
-def _fixed_total(col: Column) -> Column:
-    """Integer (fixed-point) sum kept unrounded so it can be re-aggregated."""
-    return F.sum(to_fixed(col))
-
-
-def _from_fixed(total: Column, count: Column | None = None) -> Column:
-    return total / F.lit(_SCALE) if count is None else total / count / F.lit(_SCALE)
-
-
 # ----------------------------------------------------------------------------
 # M1 player performance
 # ----------------------------------------------------------------------------
@@ -85,7 +73,7 @@ def player_aggregates(events: DataFrame) -> DataFrame:
         count_when(s & (F.col("shot_outcome") == "Goal")).alias("goals"),
         count_when(s & (F.col("shot_outcome") == "Saved")).alias("shots_saved"),
         count_when(s & (F.col("shot_outcome") == "On Target")).alias("shots_on_target"),
-        round_half(fixed_sum(F.when(s, F.col("shot_xg"))), 3).alias("total_xg"),
+        round_half(exact_sum(F.when(s, F.col("shot_xg"))), 3).alias("total_xg"),
         round_half(exact_mean(F.when(s, F.col("shot_xg"))), 3).alias("avg_xg_per_shot"),
         count_when(s & is_true("shot_first_time")).alias("first_time_shots"),
         count_when(s & is_true("shot_one_on_one")).alias("one_on_ones"),
@@ -186,12 +174,11 @@ def team_aggregates(events: DataFrame) -> DataFrame:
         count_when(p & is_true("pass_through_ball")).alias("through_balls"),
         count_when(p & is_true("pass_switch")).alias("switches"),
         count_when(p & is_true("pass_goal_assist")).alias("assists"),
-        _fixed_total(pl).alias("pass_length_fx"),
-        F.count(pl).alias("pass_length_n"),
+        sum_state(pl).alias("pass_length"),
         F.count_if(s).alias("total_shots"),
         count_when(s & (F.col("shot_outcome") == "Goal")).alias("goals"),
         count_when(s & (F.col("shot_outcome") == "Saved")).alias("shots_saved"),
-        _fixed_total(F.when(s, F.col("shot_xg"))).alias("shot_xg_fx"),
+        sum_state(F.when(s, F.col("shot_xg"))).alias("shot_xg"),
         count_when(s & is_true("shot_open_goal")).alias("open_goal_shots"),
         count_when(s & is_true("shot_one_on_one")).alias("one_on_ones"),
         F.count_if(d).alias("total_dribbles"),
@@ -213,12 +200,12 @@ def mart_team_summary(events: DataFrame) -> DataFrame:
     key = ["match_id", "team_name"]
     agg = team_aggregates(events)
     spine_cols = ["home_team", "away_team", "total_passes", "completed_passes", "crosses",
-                  "through_balls", "assists", "pass_length_fx", "pass_length_n"]
-    side_sums = ["total_shots", "goals", "shots_saved", "shot_xg_fx", "one_on_ones",
+                  "through_balls", "assists", "pass_length"]
+    side_sums = ["total_shots", "goals", "shots_saved", "one_on_ones",
                  "total_dribbles", "successful_dribbles", "total_pressures"]
     per = agg.groupBy(*key).agg(
         F.collect_list(F.struct(*spine_cols)).alias("rows"),
-        *[F.sum(c).alias(c) for c in side_sums])
+        merge_states("shot_xg").alias("shot_xg"), *[F.sum(c).alias(c) for c in side_sums])
     spine = per.select("*", F.explode(F.filter("rows", lambda x: x["total_passes"] > 0)).alias("p"))
     joinable = F.col("match_id").isNotNull() & F.col("team_name").isNotNull()
 
@@ -229,12 +216,12 @@ def mart_team_summary(events: DataFrame) -> DataFrame:
     has_dribbles = F.col("total_dribbles") > 0
     joined = spine.select(
         *key, "p.home_team", "p.away_team", "p.total_passes", "p.completed_passes",
-        round_half(_from_fixed(F.col("p.pass_length_fx"), F.col("p.pass_length_n")), 2).alias("avg_pass_length"),
+        round_half(state_mean("p.pass_length"), 2).alias("avg_pass_length"),
         "p.crosses", "p.through_balls", "p.assists",
         side(F.col("total_shots"), has_shots).alias("total_shots"),
         side(F.col("goals"), has_shots).alias("goals"),
         side(F.col("shots_saved"), has_shots).alias("shots_saved"),
-        side(round_half(_from_fixed(F.col("shot_xg_fx")), 3), has_shots).alias("total_xg"),
+        side(round_half(state_sum("shot_xg"), 3), has_shots).alias("total_xg"),
         side(F.col("one_on_ones"), has_shots).alias("one_on_ones"),
         side(F.col("total_dribbles"), has_dribbles).alias("total_dribbles"),
         side(F.col("successful_dribbles"), has_dribbles).alias("successful_dribbles"),

@@ -240,3 +240,40 @@ def schema_problems(df: DataFrame, required: list[tuple[str, str, bool]]) -> lis
         elif types[name] != dtype:
             out.append(f"column {name} has type {types[name]}, expected {dtype}")
     return out
+
+
+# Declared kind of a raw column by the type names that a VARIANT value can
+# have: whole numbers and text as declared, a name also as an object.
+_FOUND_AS = {"bigint": ("BIGINT",), "string": ("STRING",)}
+
+
+def schema_of_files(events: DataFrame, required: list[tuple[str, str, bool]], objects: set[str] = frozenset(),
+                    file_col: str = "unit") -> DataFrame:
+    """Declared against found types of raw files, as one aggregate (Q1, Q2):
+    (file, column_name, declared, found, status).
+
+    ``events`` has a VARIANT ``value`` per record. The found type is the merged
+    schema of the column over all records of the file
+    (``schema_of_variant_agg``): one type name, ``VOID`` if the key is absent
+    or null in all of them, ``VARIANT`` if records disagree. ``objects`` names
+    the columns that may come as an object with a ``name`` instead.
+
+    ``status``: ``ok``, ``missing`` (no record has the key), ``null`` (a
+    required value is nowhere given), ``type``.
+    """
+    aggs, parts = [], []
+    for i, (name, declared, nullable) in enumerate(required):
+        node = F.variant_get("value", f"$.{name}", "variant")
+        if name in objects:
+            node = F.coalesce(F.variant_get("value", f"$.{name}.name", "variant"), node)
+        aggs += [F.schema_of_variant_agg(node).alias(f"s{i}"), F.count(F.variant_get("value", f"$.{name}", "variant")).alias(f"n{i}")]
+        found = F.col(f"s{i}")
+        fits = F.lit(False)
+        for kind in _FOUND_AS[declared]:
+            fits = fits | (found == kind)
+        status = (F.when(F.col(f"n{i}") == 0, "missing").when(fits, "ok")
+                  .when(found == "VOID", F.lit("ok" if nullable else "null")).otherwise("type"))
+        parts.append(F.struct(F.lit(name).alias("column_name"), F.lit(declared).alias("declared"),
+                              found.alias("found"), status.alias("status")))
+    per_file = events.groupBy(file_col).agg(*aggs)
+    return per_file.select(file_col, F.explode(F.array(*parts)).alias("c")).select(file_col, "c.*")

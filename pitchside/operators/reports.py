@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import FIXED_SCALE, exact_mean, fixed_sum, round_half, to_fixed
+from ..functions.metrics import exact_mean, exact_sum, merge_states, round_half, state_mean, sum_state
 
 
 def _top(df: DataFrame, by: str, keys: list[str], k: int) -> DataFrame:
@@ -29,7 +29,7 @@ def report_top_players(player_mart: DataFrame, k: int = 10) -> DataFrame:
         F.sum("total_passes").alias("passes"),
         round_half(exact_mean("pass_completion_pct"), 1).alias("avg_completion_pct"),
         F.sum("goals").alias("goals"),
-        round_half(fixed_sum("total_xg"), 2).alias("total_xg"),
+        round_half(exact_sum("total_xg"), 2).alias("total_xg"),
     )
     return _top(agg, "passes", keys, k)
 
@@ -41,7 +41,7 @@ def report_teams(team_mart: DataFrame, k: int = 10) -> DataFrame:
         round_half(exact_mean("pass_completion_pct"), 1).alias("avg_completion_pct"),
         F.sum("total_shots").alias("shots"),
         F.sum("goals").alias("goals"),
-        round_half(fixed_sum("total_xg"), 2).alias("total_xg"),
+        round_half(exact_sum("total_xg"), 2).alias("total_xg"),
     )
     return _top(agg, "goals", keys, k)
 
@@ -72,7 +72,7 @@ def report_hubs(network: DataFrame, k: int = 10, approximate: bool = False) -> D
 
     Exact form: two plain aggregations instead of a distinct aggregate (which
     would expand every row): first per (passer, team, recipient), carrying
-    pass totals and the integer sum and count of the completion rates, then
+    pass totals and the exact sum state of the completion rates, then
     per (passer, team), where counting the non-null recipient keys is the
     distinct count and the carried sums give the unweighted mean over all
     network rows. ``approximate`` uses a HyperLogLog++ sketch in one pass.
@@ -84,15 +84,13 @@ def report_hubs(network: DataFrame, k: int = 10, approximate: bool = False) -> D
             F.sum("total_passes").alias("total_passes_made"),
             round_half(exact_mean("completion_pct"), 1).alias("avg_completion_pct"))
         return _top(agg, "unique_recipients", keys, k)
-    pct = F.col("completion_pct")
     pairs = network.groupBy(*keys, "recipient_name").agg(
         F.sum("total_passes").alias("passes"),
-        F.sum(to_fixed(pct)).alias("pct_fx"),
-        F.count(pct).alias("pct_n"))
+        sum_state("completion_pct").alias("pct"))
     agg = pairs.groupBy(*keys).agg(
         F.count("recipient_name").alias("unique_recipients"),
         F.sum("passes").alias("total_passes_made"),
-        round_half(F.sum("pct_fx") / F.sum("pct_n") / F.lit(10.0 ** FIXED_SCALE), 1).alias("avg_completion_pct"))
+        round_half(state_mean(merge_states("pct")), 1).alias("avg_completion_pct"))
     return _top(agg, "unique_recipients", keys, k)
 
 

@@ -7,11 +7,12 @@ micro-batch of the file stream) and
 2. derives per-file facts (corrupt, empty, required keys present) with a
    per-file aggregate (file counts are shuffled, never events);
 3. evaluates all row rules in one scan (lazy: every failure is reported);
-4. keeps, per match, only the newest valid restatement (``__v<n>``) of this
-   and all earlier batches; the others are reported as ``superseded``;
+4. keeps, per match, one valid file: the newest restatement (``__v<n>``) of
+   this and all earlier batches, of equal versions in one batch the file
+   modified last (then the larger path); the others are ``superseded``;
 5. splits rows by file: a file with any failure is rejected whole; the
-   bad-file key set is bounded by the number of input files, so it is
-   broadcast and the events are never shuffled for the split;
+   bad-file keys are counted first and broadcast if they are few, so the
+   events are not shuffled for the split (beyond that, a shuffle join);
 6. writes accepted events as staged Parquet, partitioned by match_id with
    dynamic overwrite (a rerun or restatement replaces just those matches),
    and appends all failures to the quarantine table.
@@ -20,6 +21,7 @@ micro-batch of the file stream) and
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -29,8 +31,10 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators.joins import attach_match_context
 from ..schema import CORE_COLUMNS, REQUIRED_KEYS, STAGED
+from ..sinks.generations import GenerationStore
 from ..sinks.writers import write_partitioned, write_quarantine
 from ..sources import raw_json as R
+from .listing import commit_listing, listing_changes
 
 # Raw columns read from every event: the staged set; ``id`` stays text (real
 # ids are uuids), the other types follow the staged contract.
@@ -52,7 +56,7 @@ def typed_events(events: DataFrame, core_only: bool = False) -> DataFrame:
     """Exploded raw rows -> typed raw-named columns + per-row key/raw flags."""
     wanted = [(r, t) for r, t in _RAW_TYPES if not core_only or r in CORE_COLUMNS]
     keys = list(dict.fromkeys(REQUIRED_KEYS + _TYPE_CHECKED))
-    return R.typed_columns(events.select("unit", "match_id", "version", "corrupt", "value"), wanted, keys)
+    return R.typed_columns(events.select("unit", "match_id", "version", "modified", "corrupt", "value"), wanted, keys)
 
 
 def _staged_output(accepted: DataFrame, matches: DataFrame | None, core_only: bool) -> DataFrame:
@@ -85,10 +89,59 @@ def stored_versions(spark: SparkSession, processed_dir: str) -> DataFrame | None
     return stored.select("match_id", "version")
 
 
+@dataclass
+class Checked:
+    """One batch after its rules: facts per file, the rows that may be
+    stored, all failures and the files that are out."""
+    typed: DataFrame
+    facts: DataFrame
+    rows: DataFrame
+    violations: DataFrame
+    invalid: DataFrame
+
+    def release(self) -> None:
+        self.facts.unpersist()
+        self.typed.unpersist()
+
+
+def checked_batch(raw_rows: DataFrame, layout: str, core_only: bool, reject: str) -> Checked:
+    events = R.explode_events(raw_rows, layout)
+    # the typed rows feed the facts, the rules and the write: computed once
+    typed = typed_events(events, core_only).persist(StorageLevel.MEMORY_AND_DISK)
+    facts = R.file_facts(typed, REQUIRED_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = typed.filter(F.col("_has_value"))
+    row_viol = Q.violations(rows, Q.RAW_ROW_RULES, ["unit", "match_id"])
+    by_file = R.file_rejections(facts, REQUIRED_KEYS)
+    viol = row_viol.unionByName(by_file).select(*_VIOLATION_COLS)
+    if reject == "row":
+        invalid = by_file.select("unit").distinct()
+        rows = rows.filter(~Q.any_failed(Q.RAW_ROW_RULES))
+    else:
+        invalid = viol.select("unit").distinct()
+    return Checked(typed, facts, rows, viol, invalid)
+
+
+def superseded_files(valid: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """The valid files of a batch that are not their match's newest: one file
+    per match wins by version, modification time and path, unless ``stored``
+    (match_id, version) has a higher version from an earlier batch."""
+    order = F.struct("version", "modified", "unit")
+    best = valid.groupBy("match_id").agg(F.max(order).alias("best"))
+    if stored is not None:
+        earlier = stored.groupBy("match_id").agg(F.max("version").alias("stored"))
+        best = best.join(earlier, "match_id", "left").filter(
+            F.col("stored").isNull() | (F.col("best.version") >= F.col("stored")))
+    return valid.join(best.select(F.col("best.unit").alias("unit")), "unit", "left_anti")
+
+
+def superseded_rows(stale: DataFrame) -> DataFrame:
+    return stale.select("unit", "match_id", F.lit("superseded").alias("rule"), F.lit("version").alias("column_name"),
+                        F.col("version").cast("string").alias("value"))
+
+
 def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, layout: str = "array",
                  batch_key: str | None = None, matches: DataFrame | None = None,
-                 max_files: int | None = None, core_only: bool = False,
-                 reject: str = "file") -> BatchResult:
+                 core_only: bool = False, reject: str = "file") -> BatchResult:
     """Validate and write one batch of raw files; returns the batch counts.
 
     ``reject="file"`` (default): one failing row rejects its whole file.
@@ -100,35 +153,15 @@ def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, l
     the same key (a stream passes its micro-batch id) so it replaces its rows.
     """
     batch_key = batch_key or f"run-{uuid.uuid4().hex[:16]}"
-    events = R.explode_events(raw_rows, layout)
-    # the typed rows feed the facts, the rules and the write: computed once
-    typed = typed_events(events, core_only).persist(StorageLevel.MEMORY_AND_DISK)
-    facts = R.file_facts(typed, REQUIRED_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = checked_batch(raw_rows, layout, core_only, reject)
     try:
-        rows = typed.filter(F.col("_has_value"))
-        row_viol = Q.violations(rows, Q.RAW_ROW_RULES, ["unit", "match_id"])
-        viol = row_viol.unionByName(R.file_rejections(facts, REQUIRED_KEYS)).select(*_VIOLATION_COLS)
-
-        if reject == "row":
-            invalid = R.file_rejections(facts, REQUIRED_KEYS).select("unit").distinct()
-            rows = rows.filter(~Q.any_failed(Q.RAW_ROW_RULES))
-        else:
-            invalid = viol.select("unit").distinct()
-        # restatements: of a match's valid files in this batch the newest is kept
-        # unless an earlier batch stored a newer one
-        valid = facts.join(invalid, "unit", "left_anti")
-        known = valid.select("match_id", "version")
-        stored = stored_versions(raw_rows.sparkSession, processed_dir)
-        if stored is not None:
-            known = known.unionByName(stored.join(known.select("match_id").distinct(), "match_id", "left_semi"))
-        latest = known.groupBy("match_id").agg(F.max("version").alias("version"))
-        stale = valid.join(latest, ["match_id", "version"], "left_anti")
-        bad_units = invalid.unionByName(stale.select("unit")).distinct()
-        viol = viol.unionByName(stale.select(
-            "unit", "match_id", F.lit("superseded").alias("rule"), F.lit("version").alias("column_name"),
-            F.col("version").cast("string").alias("value")))
-
-        accepted, _ = Q.split_by_file(rows, bad_units, file_col="unit", max_files=max_files)
+        valid = batch.facts.join(batch.invalid, "unit", "left_anti")
+        stale = superseded_files(valid, stored_versions(raw_rows.sparkSession, processed_dir))
+        bad_units = batch.invalid.unionByName(stale.select("unit")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        n_bad = bad_units.count()  # the bound of the broadcast
+        viol = batch.violations.unionByName(superseded_rows(stale))
+
+        accepted, _ = Q.split_by_file(batch.rows, bad_units, file_col="unit", max_files=n_bad)
         obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
         out = _staged_output(accepted, matches, core_only).observe(obs, F.count(F.lit(1)).alias("rows"))
         write_partitioned(out, processed_dir, ["match_id"])
@@ -136,33 +169,88 @@ def ingest_batch(raw_rows: DataFrame, processed_dir: str, quarantine_dir: str, l
         restated = valid.filter("version > 0").groupBy("match_id").agg(F.max("version").alias("version"))
         write_partitioned(restated.withColumn("batch", F.lit(batch_key)), versions_path(processed_dir), ["batch"])
 
-        counts = facts.agg(F.count(F.lit(1)).alias("files")).first()
-        n_bad = bad_units.count()
-        return BatchResult(files=counts["files"], accepted_files=counts["files"] - n_bad,
+        n_files = batch.facts.count()
+        bad_units.unpersist()
+        return BatchResult(files=n_files, accepted_files=n_files - n_bad,
                            rejected_files=n_bad, accepted_rows=int(obs.get.get("rows", 0)))
     finally:
-        facts.unpersist()
-        typed.unpersist()
+        batch.release()
+
+
+def ingest_generation(raw_rows: DataFrame, store: GenerationStore, quarantine_dir: str, batch_key: str,
+                      layout: str = "array", matches: DataFrame | None = None,
+                      reject: str = "file") -> BatchResult:
+    """Validate one batch and append it to a generation store.
+
+    The store hides older statements of a match when it is read, so a batch
+    only adds: nothing stored is rewritten. A batch key that was committed
+    before is not stored again (a retry after a lost driver).
+    """
+    batch = checked_batch(raw_rows, layout, False, reject)
+    try:
+        valid = batch.facts.join(batch.invalid, "unit", "left_anti")
+        stale = superseded_files(valid, store.versions(raw_rows.sparkSession))
+        bad_units = batch.invalid.unionByName(stale.select("unit")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        n_bad = bad_units.count()
+        accepted, _ = Q.split_by_file(batch.rows, bad_units, file_col="unit", max_files=n_bad)
+        kept = valid.join(stale.select("unit"), "unit", "left_anti").select("match_id", "version", "unit")
+        n_rows = store.append(_staged_output(accepted, matches, False), kept, batch_key)
+        write_quarantine(batch.violations.unionByName(superseded_rows(stale)), quarantine_dir, batch_key)
+        n_files = batch.facts.count()
+        bad_units.unpersist()
+        return BatchResult(files=n_files, accepted_files=n_files - n_bad, rejected_files=n_bad, accepted_rows=n_rows)
+    finally:
+        batch.release()
+
+
+def ingest_changes(spark: SparkSession, raw_dir: str, state_dir: str,
+                   ingest: Callable[[DataFrame, str], BatchResult], layout: str = "array",
+                   max_files: int = Q.MAX_BROADCAST_FILES) -> DataFrame:
+    """Ingest the raw keys that were created or rewritten since the last call.
+
+    The difference of the folder's listing and the stored one (path, length,
+    modification time) is the batch, so a rewritten key is read again. It is
+    written to ``state_dir`` before anything is ingested and counts as the
+    stored listing only when all of it was: a run that breaks off is taken up
+    with the same batch keys. A key that is gone is reported and its match
+    stays stored. ``ingest(rows, batch_key)`` stores one batch of at most
+    ``max_files`` files, in the lines layout folders: each touched folder is
+    read whole, once. Returns the changes (key, change, size, modified).
+    """
+    changes, number = listing_changes(spark, raw_dir, state_dir)
+    name = F.col("path") if layout == "array" else F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    keys = changes.filter("change <> 'gone'").select(name.alias("path")).distinct().orderBy("path").toLocalIterator()
+    part, paths = 0, []
+
+    def store() -> None:
+        nonlocal part, paths
+        if paths:
+            ingest(R.read_raw_files(spark, paths, layout), f"listing-{number:08d}-{part:05d}")
+        part, paths = part + 1, []
+
+    for row in keys:
+        paths.append(row["path"])
+        if len(paths) >= max_files:
+            store()
+    store()
+    commit_listing(spark, state_dir, number)
+    return changes.select("key", "change", "size", "modified")
 
 
 def ingest_files(spark, raw_dir: str, processed_dir: str, quarantine_dir: str, layout: str = "array",
                  matches: DataFrame | None = None, core_only: bool = False,
-                 reject: str = "file", max_files_per_batch: int = Q.MAX_BROADCAST_FILES,
+                 reject: str = "file", max_files_per_batch: int | None = None,
                  checkpoint: str | None = None) -> BatchResult:
     """Batch entry: ingest every ``*.json`` below ``raw_dir`` (recursively).
 
-    Up to ``max_files_per_batch`` files are one batch. A larger backfill runs
-    as an ``availableNow`` stream over the same folder: bounded micro-batches
-    (bounded cache, bounded broadcast of bad-file keys). A failed backfill
-    resumes where it stopped if called again with the same ``checkpoint``;
-    without one each call starts over. The division into batches does not
-    change what is stored.
+    All files are one batch, or, with ``max_files_per_batch``, an
+    ``availableNow`` stream over the same folder in bounded micro-batches. A
+    failed backfill of that kind resumes where it stopped if called again
+    with the same ``checkpoint``; without one each call starts over.
     """
-    rows = R.read_raw_files(spark, raw_dir, layout)
-    n_files = len(rows.inputFiles())  # file listing only (driver metadata), bounds the bad-file set
-    if n_files <= max_files_per_batch:
-        return ingest_batch(rows, processed_dir, quarantine_dir, layout, None, matches, n_files,
-                            core_only, reject)
+    if max_files_per_batch is None:
+        rows = R.read_raw_files(spark, raw_dir, layout)
+        return ingest_batch(rows, processed_dir, quarantine_dir, layout, None, matches, core_only, reject)
     from ..session import scratch_path
     from ..streaming.ingest_stream import run_ingest_stream
     run = run_ingest_stream(spark, raw_dir, processed_dir, quarantine_dir,

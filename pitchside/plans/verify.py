@@ -17,10 +17,11 @@ from ..functions.metrics import round_half
 
 
 def list_objects(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """Object listing with sizes: (key relative to root, size, modified).
+    """Object listing with sizes: (key relative to root, path, size, modified).
 
     ``binaryFile`` with only path/length selected never reads file content
-    (the scan's ReadSchema is path and length).
+    (the scan's ReadSchema is path and length). The key is what follows the
+    root's own path in the object's, compared as text.
     """
     root = root.rstrip("/")
     try:
@@ -30,9 +31,11 @@ def list_objects(spark: SparkSession, root: str, glob: str = "*.parquet") -> Dat
     except AnalysisException as e:  # nothing written there yet: an empty listing
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], "key string, size bigint, modified timestamp")
-    rel = F.regexp_replace("path", r"^.*?" + root.replace(".", r"\.") + "/", "")
-    return df.select(rel.alias("key"), F.col("length").alias("size"),
+        return spark.createDataFrame([], "key string, path string, size bigint, modified timestamp")
+    inner = root.partition("://")[2].partition("/")[2] if "://" in root else root.partition(":")[2] or root
+    inner = F.lit("/" + inner.strip("/") + "/")
+    key = F.substring(F.col("path"), F.instr("path", inner) + F.char_length(inner), F.lit(1 << 20))
+    return df.select(key.alias("key"), "path", F.col("length").alias("size"),
                      F.col("modificationTime").alias("modified"))
 
 
@@ -52,6 +55,16 @@ def missing_files(manifest: DataFrame, listing: DataFrame) -> DataFrame:
     return expected.join(listing.select(F.col("key").alias("processed_key")), "processed_key", "left_anti")
 
 
+def verify_stored(manifest: DataFrame, listing: DataFrame) -> DataFrame:
+    """``verify_processed`` over stored tables bucketed alike by
+    ``processed_key`` (manifest: raw_key, processed_key; listing:
+    processed_key, size): merged bucket by bucket without an exchange."""
+    joined = manifest.join(listing.select("processed_key", "size").hint("merge"), "processed_key", "left")
+    return joined.select("raw_key", "processed_key",
+                         F.when(F.col("size").isNotNull(), "found").otherwise("missing").alias("status"),
+                         "size")
+
+
 def verification_summary(status: DataFrame) -> DataFrame:
     """expected, found, missing and success rate in % (one decimal; null when
     nothing was expected instead of a division by zero)."""

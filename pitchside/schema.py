@@ -11,8 +11,6 @@ Fixed values (must equal the modelled pipeline for the same results):
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # --- raw (flattened) file contract -------------------------------------------
 CORE_COLUMNS = ["id", "index", "period", "timestamp", "type", "team", "player", "location"]
 NAME_RENAMES = {"type_name": "type", "team_name": "team", "player_name": "player"}
@@ -29,16 +27,6 @@ REQUIRED_RAW = [
     ("player", "string", True),
 ]
 
-CORE_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("index", T.LongType()),
-    T.StructField("period", T.LongType()),
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("team", T.StringType()),
-    T.StructField("player", T.StringType()),
-    T.StructField("location", T.ArrayType(T.DoubleType())),
-])
 
 # --- raw source column -> staged column (39, in staged order) -----------------
 # (raw name, staged name, spark type)
@@ -87,13 +75,10 @@ STAGED = [
 STAGED_COLUMNS = [s for _, s, _ in STAGED]
 RAW_TO_STAGED = {r: s for r, s, _ in STAGED}
 STAGED_TO_RAW = {s: r for r, s, _ in STAGED}
-STAGED_TYPES = {s: t for _, s, t in STAGED}
 
 # Event types the marts look at (case-sensitive equality).
 PASS, SHOT, DRIBBLE, PRESSURE = "Pass", "Shot", "Dribble", "Pressure"
 
-MATCHES_SCHEMA = "match_id bigint, home_team string, away_team string, home_score bigint, away_score bigint"
-COMPETITIONS_SCHEMA = "competition_id int, season_id int, competition_name string, season_name string"
 
 # --- nested event format -------------------------------------------------------
 # Detail groups of the nested event format and the fields that

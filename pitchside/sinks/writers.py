@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.staging import to_raw_names
@@ -83,3 +83,58 @@ def export_events_json(df: DataFrame, path: str, nested: bool = True, rebalance:
     out = rebalanced(out, ["match_id"]) if rebalance else out
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false")
         .partitionBy("match_id").json(path))
+
+
+def export_match_arrays(df: DataFrame, path: str, nested: bool = True, suffix: str = "") -> int:
+    """One file ``match_<id><suffix>.json`` per match, one JSON array of its events in
+    event order: the upload format. Returns the number of files.
+
+    A line per event is written under its match; the first opens the array and
+    the last closes it, so no match is gathered into a row. One task writes a
+    match, as one file must be. The files get their names by one rename each,
+    on the driver, as an upload of single objects does.
+    """
+    spark = df.sparkSession
+    out = to_nested(df) if nested else to_raw_names(df)
+    body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in out.columns if c != "match_id"]), {"ignoreNullFields": "false"})
+    order = Window.partitionBy("match_id").orderBy("index", "id")
+    lines = out.select(
+        "match_id", F.lag(F.lit(1)).over(order).isNull().alias("first"),
+        F.lead(F.lit(1)).over(order).isNull().alias("last"), body.alias("body"))
+    text = lines.select("match_id", F.concat(  # in the window's order
+        F.when(F.col("first"), "[").otherwise(","), "body", F.when(F.col("last"), "]").otherwise("")).alias("value"))
+    parts = path.rstrip("/") + "/_parts"
+    text.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("match_id").text(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    n = 0
+    for folder in fs.listStatus(hadoop.Path(parts)):
+        match = folder.getPath().getName().partition("match_id=")[2]
+        if not match:
+            continue
+        files = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+        if len(files) != 1:
+            raise ValueError(f"match {match} was written as {len(files)} files")
+        target = hadoop.Path(f"{path.rstrip('/')}/match_{match}{suffix}.json")
+        fs.delete(target, False)
+        fs.rename(files[0], target)
+        n += 1
+    fs.delete(hadoop.Path(parts), True)
+    return n
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "match_id", buckets: int = 16) -> DataFrame:
+    """Store ``df`` at ``path`` hashed into ``buckets`` sorted files by ``key``
+    and register it as ``table``. Tables with the same key and number of
+    buckets join and group on the key without an exchange."""
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+       .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def open_bucketed(spark: SparkSession, table: str, path: str, schema: str, key: str = "match_id",
+                  buckets: int = 16) -> DataFrame:
+    """Register a stored bucketed folder in another session."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet "
+              f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)

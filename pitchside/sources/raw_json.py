@@ -49,7 +49,7 @@ def _reader(spark: SparkSession, layout: str, stream: bool, max_files_per_trigge
 
 def read_raw_files(spark: SparkSession, root: str | list[str], layout: str = "array", stream: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Rows of raw JSON with their source: (file_path, v, corrupt).
+    """Rows of raw JSON with their source: (file_path, modified, v, corrupt).
 
     ``array``: one row per file; ``lines``: one row per line.
     """
@@ -57,11 +57,12 @@ def read_raw_files(spark: SparkSession, root: str | list[str], layout: str = "ar
     corrupt = F.col("v").isNull()
     if "_corrupt_record" in df.columns:
         corrupt = corrupt | F.col("_corrupt_record").isNotNull()
-    return df.select(F.col("_metadata.file_path").alias("file_path"), "v", corrupt.alias("corrupt"))
+    return df.select(F.col("_metadata.file_path").alias("file_path"),
+                     F.col("_metadata.file_modification_time").alias("modified"), "v", corrupt.alias("corrupt"))
 
 
 def explode_events(files: DataFrame, layout: str = "array") -> DataFrame:
-    """One row per event: (unit, match_id, version, corrupt, pos, value).
+    """One row per event: (unit, match_id, version, modified, corrupt, pos, value).
 
     The unit of acceptance is the source file for ``array`` (one match per
     file) and the match folder for ``lines``. ``array`` files are exploded
@@ -71,12 +72,12 @@ def explode_events(files: DataFrame, layout: str = "array") -> DataFrame:
     path = F.col("file_path")
     unit = path if layout == "array" else F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
     base = files.select(unit.alias("unit"), unit_match_id(path).alias("match_id"),
-                        key_version(path).alias("version"), "corrupt", "v")
+                        key_version(path).alias("version"), "modified", "corrupt", "v")
     if layout == "lines":
-        return base.select("unit", "match_id", "version", "corrupt",
+        return base.select("unit", "match_id", "version", "modified", "corrupt",
                            F.lit(None).cast("int").alias("pos"), F.col("v").alias("value"))
     arr = F.expr("try_cast(v as array<variant>)")
-    return base.select("unit", "match_id", "version", "corrupt",
+    return base.select("unit", "match_id", "version", "modified", "corrupt",
                        F.posexplode_outer(arr).alias("pos", "value"))
 
 
@@ -97,7 +98,8 @@ def file_facts(events: DataFrame, required: list[str] = REQUIRED_KEYS) -> DataFr
         return F.coalesce(present(F.col("value"), k), F.lit(False))
 
     n = F.count_if(F.col("_has_value")) if "_has_value" in events.columns else F.count("value")
-    aggs = [F.max(F.col("corrupt").cast("int")).alias("corrupt"), n.alias("n_events")]
+    aggs = [F.max(F.col("corrupt").cast("int")).alias("corrupt"), n.alias("n_events"),
+            F.max("modified").alias("modified")]
     aggs += [F.bool_or(has(k)).alias(f"has_{k}") for k in required]
     return events.groupBy("unit", "match_id", "version").agg(*aggs)
 

@@ -23,11 +23,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def scan_base(spark: SparkSession, path: str) -> DataFrame:
-    """Base table: the stored events, all columns."""
-    return spark.read.parquet(path)
-
-
 def events_of_match(events: DataFrame, match_id: int) -> DataFrame:
     """Events of one match (S8): an equality on the partition/filter column.
 

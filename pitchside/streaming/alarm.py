@@ -36,6 +36,36 @@ def failure_windows(failures: DataFrame, ts_col: str = "ts", period: str = PERIO
     return _finish(agg)
 
 
+def alarm_transitions(windows: DataFrame, period: str = PERIOD, threshold: int = THRESHOLD) -> DataFrame:
+    """Changes of the alarm's state: (at, state), ``ALARM`` at the start of
+    the first window over the threshold after a window that was not, ``OK``
+    at the end of the last one. Windows that are not there count as 0.
+
+    Nothing is filled in and no task sees all windows: a run of windows over
+    the threshold begins where no such window ends and ends where none
+    begins, which two anti joins on the boundary tell. ``windows`` is the
+    output of ``failure_windows``.
+    """
+    hot = windows.filter(F.col("n_failures") > threshold).select("window_start", "window_end")
+    starts = hot.select(F.col("window_start").alias("at"))
+    ends = hot.select(F.col("window_end").alias("at"))
+    return (starts.join(ends, "at", "left_anti").withColumn("state", F.lit("ALARM"))
+            .unionByName(ends.join(starts, "at", "left_anti").withColumn("state", F.lit("OK"))))
+
+
+def alarm_states(windows: DataFrame, first: str, last: str, period: str = PERIOD,
+                 threshold: int = THRESHOLD) -> DataFrame:
+    """The gap-filled series from ``first`` up to (not including) ``last``:
+    one row per window with its failures (0 where there are none) and state."""
+    spark = windows.sparkSession
+    series = spark.sql(f"select explode(sequence(timestamp_ntz '{first}', timestamp_ntz '{last}' - interval {period}, "
+                       f"interval {period})) as window_start")
+    filled = series.join(windows.select("window_start", "n_failures"), "window_start", "left")
+    n = F.coalesce("n_failures", F.lit(0).cast("bigint"))
+    return filled.select("window_start", (F.col("window_start") + F.expr(f"interval {period}")).alias("window_end"),
+                         n.alias("n_failures"), F.when(n > threshold, "ALARM").otherwise("OK").alias("state"))
+
+
 def _finish(agg: DataFrame) -> DataFrame:
     return agg.select(F.col("w.start").cast(T.TimestampNTZType()).alias("window_start"),
                       F.col("w.end").cast(T.TimestampNTZType()).alias("window_end"),
@@ -53,16 +83,16 @@ def stream_failure_windows(stream: DataFrame, ts_col: str = "ts", period: str =
 
 def start_stream_alarm(spark: SparkSession, source_dir: str, file_glob: str, schema: T.StructType | str,
                        out_path: str, checkpoint: str, failure_filter: F.Column, ts_col: str = "ts",
-                       output_mode: str = "complete", available_now: bool = True,
+                       output_mode: str = "append", available_now: bool = True,
                        watermark: str = "10 minutes"):
     """Start the alarm stream over parquet files; returns the StreamingQuery.
 
+    ``append`` (default): a window is written once, when the watermark has
+    passed its end; state is evicted, so a continuous stream keeps bounded
+    state. The file sink appends exactly once per window.
     ``complete``: every micro-batch rewrites the whole window table (state
     keeps one row per window ever seen), so a bounded run reports the last,
-    still open window too; right for ``availableNow`` runs.
-    ``append``: a window is written once, when the watermark has passed its
-    end; state is evicted, so a continuous stream keeps bounded state. The
-    file sink appends exactly once per window.
+    still open window too; for bounded ``availableNow`` runs only.
     """
     src = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
            .parquet(source_dir).filter(failure_filter))

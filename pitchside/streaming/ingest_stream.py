@@ -6,11 +6,12 @@ prefix filter is recursive) feeds ``plans.ingest.ingest_batch`` through
 checkpoint records which files were processed (exactly-once bookkeeping),
 and the sink is idempotent per match (dynamic partition overwrite), so a
 retried micro-batch after an executor or driver loss rewrites the same
-partitions. ``maxFilesPerTrigger`` bounds each micro-batch, which also
-bounds the broadcast bad-file key set.
+partitions. ``maxFilesPerTrigger`` bounds each micro-batch.
 
 Note: a file source ignores a rewritten path; a restated match arrives as a
-new file name (``match_<id>__v<n>.json``).
+new file name (``match_<id>__v<n>.json``), or the folder is ingested by the
+difference of its listings (``plans.ingest.ingest_changes``), which also reads
+a lines folder of many files once instead of once per micro-batch.
 """
 
 from __future__ import annotations
@@ -72,8 +73,7 @@ def start_ingest_stream(spark: SparkSession, raw_dir: str, processed_dir: str, q
         # same checkpoint + same batch id on a retry -> same quarantine partition
         run.batches[batch_id] = ingest_batch(batch, processed_dir, quarantine_dir, layout,
                                              f"{stream_name}-{batch_id:08d}", matches,
-                                             max_files=max_files_per_trigger or None, core_only=core_only,
-                                             reject=reject)
+                                             core_only=core_only, reject=reject)
 
     w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -8,10 +8,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def test_cli_lists_keys():
-    import __spark_entry__ as E
+    from pitchside.registry import QUERIES
     out = subprocess.run([sys.executable, "-m", "pitchside", "list"], cwd=ROOT, capture_output=True,
                          text=True, timeout=300, check=True).stdout.split()
-    assert out == sorted(E.queries())
+    assert out == sorted(QUERIES)
 
 
 def test_cli_show_prints_rows():

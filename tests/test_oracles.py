@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from pitchside.registry import ORACLES, QUERIES
 
 from conftest import SF0001
 
@@ -45,7 +46,8 @@ def duck():
 
 
 def test_every_key_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -54,10 +56,10 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_key_matches_oracle(spark, duck, key):
-    got = E.queries()[key](spark, SF0001).toPandas()
-    want = duck.execute(E.oracle_sql()[key]).df()
+    got = QUERIES[key](spark, SF0001).toPandas()
+    want = duck.execute(ORACLES[key]).df()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc

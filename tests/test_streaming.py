@@ -109,7 +109,7 @@ def test_pipeline_audit_mode_keeps_failed_marts_unpublished(spark):
     from pitchside.fixtures import matches_dim
     from pitchside.plans.pipeline import PipelineConfig, run_pipeline
     ev = match_events(spark, SF0001, "dirty")
-    cfg = PipelineConfig(root=scratch_path(spark, "audit"), max_matches=None, publish="after_tests")
+    cfg = PipelineConfig(root=scratch_path(spark, "audit"), competition_id=None, season_id=None, max_matches=None, publish="after_tests")
     row = run_pipeline(spark, ev, matches_dim(ev), cfg).first()
     assert row.ingested == 2 and row.processed + row.missing == 2
     published = os.path.exists(os.path.join(cfg.root, "warehouse", "mart_team_summary"))
@@ -146,6 +146,6 @@ def test_pipeline_with_nothing_to_upload(spark):
     from pitchside.fixtures import matches_dim
     from pitchside.plans.pipeline import PipelineConfig, run_pipeline
     ev = match_events(spark, SF0001)
-    cfg = PipelineConfig(root=scratch_path(spark, "empty_run"), max_matches=0)
+    cfg = PipelineConfig(root=scratch_path(spark, "empty_run"), competition_id=None, season_id=None, max_matches=0)
     row = run_pipeline(spark, ev, matches_dim(ev), cfg).first()
     assert (row.ingested, row.processed, row.missing, row.transform_status) == (0, 0, 0, "no_data")
