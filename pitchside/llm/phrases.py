@@ -18,11 +18,13 @@ known), and it was grown itself unless it has ``longest`` words (all longer
 phrases around it are known; a longer candidate around it contains one that is
 one word longer, which occurs at least as often, so only these are asked).
 
-Scale: only phrases at or above the least count are kept in tables, each a
-shuffle by language and phrase with map-side sums; a frequent word pair is one
-row per task. Tasks see the frontier as a broadcast of at most ``block`` 64-bit
-hashes; a hash that meets another phrase counts that one too, which is also
-exact. The phrases themselves are compared as text.
+Scale: tasks send, for each phrase of the frontier and each word beside it, one
+row of numbers (the phrase's place in the frontier, the 128-bit hash of
+language and word, the count); map-side sums merge them, so a frequent word
+pair is one row per task. Words that are too rare are left out by a bitmap of
+fixed size (``WORD_BITS``); one that passes it by chance is dropped by its
+count. The frontier is a broadcast of at most ``block`` pairs of hashes. Only
+phrases at or above the least count are kept, as text.
 
 Defined results: null text is empty, null lang is ``und``; repeated rows count
 each time; a language without candidates has no rows; a phrase with a part
@@ -50,7 +52,8 @@ TOP = 2000
 UNIT = 2_000_000
 COVERED = 80  # percent of a phrase's count that a longer one must have to replace it
 BLOCK = 1 << 20
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
+WORD_BITS = 26  # slots of the bitmap of frequent words, as a power of two
 
 _WORD, _BLANK, _BREAK = 0, 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -79,21 +82,15 @@ class Pieces:
         doc = np.searchsorted(offsets, start, side="right") - 1
         self.run = np.cumsum(kind == _BREAK)[start] + doc if len(start) else start
         base = BYTE_BASES[0]
-        hashes = range_hash(prefix_hash(raw.astype(U), base), base, start, end)
-        self.prefix = prefix_hash(hashes, WORD_BASES[0])
-        self.check = prefix_hash(mix(range_hash(prefix_hash(raw.astype(U), BYTE_BASES[1]), BYTE_BASES[1], start, end)),
-                                 WORD_BASES[1])
+        values = raw.astype(U)
+        hashes = [range_hash(prefix_hash(values, one), one, start, end) for one in BYTE_BASES]
+        self.prefix = [prefix_hash(h, one) for h, one in zip(hashes, WORD_BASES)]
+        self.raw, self.span = raw, (start, end)
         langs = batch.column("lang").dictionary_encode()
         self.langs = langs.dictionary
         self.lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[doc]
         lang_raw, at = text_bytes(self.langs)
         self.lang_hash = range_hash(prefix_hash(lang_raw.astype(U) + U(1), base), base, at[:-1], at[1:])
-        length = end - start
-        to = np.cumsum(length + 1) - length - 1
-        self.start, self.end = to, to + length
-        self.text = np.full(int(length.sum()) + len(length), 0x20, dtype=np.uint8)
-        target, owner = ranges(self.start, self.end - 1)
-        self.text[target] = raw[start[owner] + (target - self.start[owner])]
 
     def starts(self, words: int) -> np.ndarray:
         """First words of all phrases of so many words."""
@@ -101,41 +98,87 @@ class Pieces:
             return np.zeros(0, dtype=np.int64)
         return np.flatnonzero(self.run[words - 1:] == self.run[:len(self.run) - words + 1])
 
-    def keys(self, at: np.ndarray, words: int) -> np.ndarray:
+    def keys(self, at: np.ndarray, words: int, which: int = 0) -> np.ndarray:
         """Hash of language and phrase."""
-        return mix(range_hash(self.prefix, WORD_BASES[0], at, at + words) ^ self.lang_hash[self.lang[at]])
+        return mix(range_hash(self.prefix[which], WORD_BASES[which], at, at + words) ^ self.lang_hash[self.lang[at]])
 
-    def counted(self, at: np.ndarray, words: int) -> pa.RecordBatch | None:
-        """lang, phrase, words and count of the phrases that start there."""
-        if not len(at):
+    def words(self) -> pa.RecordBatch | None:
+        """lang, word and count of all words."""
+        start, end = self.span
+        if not len(start):
             return None
-        keys = self.keys(at, words)
-        order = np.argsort(keys, kind="stable")
-        check = range_hash(self.check, WORD_BASES[1], at, at + words)
-        new = np.zeros(len(at), dtype=bool)
-        new[0] = True
-        for own in (keys, check, self.lang[at]):
-            new[1:] |= own[order][1:] != own[order][:-1]
-        first = np.flatnonzero(new)
-        n = np.diff(np.append(first, len(at)))
-        one = at[order[first]]
-        begin, end = self.start[one], self.end[one + words - 1]
-        source, _ = ranges(begin, end - 1)
+        order, first, n = _counted(self.keys(np.arange(len(start)), 1), [self.keys(np.arange(len(start)), 1, 1), self.lang])
+        one = order[first]
+        source, _ = ranges(start[one], end[one] - 1)
         offsets = np.zeros(len(one) + 1, dtype=np.int64)
-        np.cumsum(end - begin, out=offsets[1:])
-        phrase = pa.LargeStringArray.from_buffers(len(one), pa.py_buffer(offsets), pa.py_buffer(self.text[source]))
+        np.cumsum(end[one] - start[one], out=offsets[1:])
+        word = pa.LargeStringArray.from_buffers(len(one), pa.py_buffer(offsets), pa.py_buffer(self.raw[source]))
         return pa.RecordBatch.from_arrays(
-            [self.langs.take(pa.array(self.lang[one])).cast(pa.string()), phrase.cast(pa.string()),
-             pa.array(np.full(len(one), words), pa.int32()), pa.array(n, pa.int64())],
-            names=["lang", "phrase", "words", "f"])
-
-
-COUNTED = "lang string, phrase string, words int, f long"
-
-
-def _totals(rows: DataFrame, least: int) -> DataFrame:
-    return (rows.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
-            .filter(F.col("f") >= least))
+            [self.langs.take(pa.array(self.lang[one])).cast(pa.string()), word.cast(pa.string()),
+             pa.array(n, pa.int64())], names=["lang", "phrase", "f"])
+
+
+def _counted(key: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key, first place of each run of equal rows, and its length.
+    Rows that share a key by chance only split a run: sums follow."""
+    order = np.argsort(key, kind="stable")
+    new = np.zeros(len(key), dtype=bool)
+    new[:1] = True
+    for own in (key, *others):
+        sorted_ = own[order]
+        new[1:] |= sorted_[1:] != sorted_[:-1]
+    first = np.flatnonzero(new)
+    return order, first, np.diff(np.append(first, len(key)))
+
+
+class Frontier:
+    """Hashes of the phrases to grow, by number of words: sorted keys, their
+    checks and places, and the bitmap of frequent words."""
+
+    def __init__(self, rows, longest: int, bitmap: np.ndarray) -> None:
+        self.bitmap = bitmap
+        self.sizes = []
+        for n in range(1, longest):
+            own = rows[rows["words"] == n]
+            key = own["key"].to_numpy().view(U)
+            order = np.argsort(key)
+            self.sizes.append((key[order], own["check"].to_numpy().view(U)[order], own["place"].to_numpy()[order]))
+
+    def places(self, p: Pieces, size: int) -> np.ndarray:
+        """Place of the frontier's phrase that starts at each word, or -1."""
+        keys, checks, place = self.sizes[size - 1]
+        out = np.full(len(p.run), -1, dtype=np.int64)
+        at = p.starts(size)
+        found = p.keys(at, size)
+        where = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        hit = np.flatnonzero(keys[where] == found)
+        hit = hit[checks[where[hit]] == p.keys(at[hit], size, 1)]
+        out[at[hit]] = place[where[hit]]
+        return out
+
+    def grow(self, p: Pieces) -> Iterator[pa.RecordBatch]:
+        """known (twice the place, one more if the word stands before the
+        phrase), word_key, word_check and count."""
+        for size, (keys, _, _) in enumerate(self.sizes, 1):
+            if not len(keys):
+                continue
+            place = self.places(p, size)
+            longer = p.starts(size + 1)
+            after = place[longer] >= 0
+            # what is found from its front is not counted again from its end
+            before = ~after & (place[longer + 1] >= 0) if size > 1 else np.zeros(len(longer), dtype=bool)
+            known = np.concatenate([2 * place[longer[after]], 2 * place[longer[before] + 1] + 1])
+            word = np.concatenate([longer[after] + size, longer[before]])
+            key = p.keys(word, 1)
+            slot = key >> U(64 - WORD_BITS)
+            frequent = np.flatnonzero((self.bitmap[(slot >> U(3)).astype(np.int64)] >> (slot & U(7)).astype(np.uint8)) & 1)
+            known, word, key = known[frequent], word[frequent], key[frequent]
+            check = p.keys(word, 1, 1)
+            order, first, n = _counted(mix(known.astype(U) * U(0x9E3779B97F4A7C15) ^ key), [known, key, check])
+            one = order[first]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(known[one]), pa.array(key[one].view(np.int64)), pa.array(check[one].view(np.int64)),
+                 pa.array(n, pa.int64())], names=["known", "word_key", "word_check", "f"])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -143,59 +186,72 @@ def _texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """Counts of all words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", PIECE_BYTES):
-                p = Pieces(part)
-                rows = p.counted(np.arange(len(p.run)), 1)
-                if rows is not None:
-                    yield rows
-    return _totals(_texts(docs).mapInArrow(run, COUNTED), 1)
-
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Pieces]:
+    for batch in batches:
+        for part in slices(batch, "text", PIECE_BYTES):
+            yield Pieces(part)
 
-def grown(docs: DataFrame, hashes: list[np.ndarray], least: int) -> DataFrame:
-    """Counts of all phrases that extend a phrase of the frontier by a word
-    before or after it. ``hashes``: sorted keys by number of words - 1."""
-    frontier = docs.sparkSession.sparkContext.broadcast(hashes)
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """lang, phrase (one word) and f of all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frontier.value
-        for batch in batches:
-            for part in slices(batch, "text", PIECE_BYTES):
-                p = Pieces(part)
-                for size, own in enumerate(known, 1):
-                    if not len(own):
-                        continue
-                    at = p.starts(size)
-                    keys = p.keys(at, size)
-                    place = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-                    member = np.zeros(len(p.run), dtype=bool)
-                    member[at[own[place] == keys]] = True
-                    longer = p.starts(size + 1)
-                    hit = member[longer] if size == 1 else member[longer] | member[longer + 1]
-                    rows = p.counted(longer[hit], size + 1)
-                    if rows is not None:
-                        yield rows
-    return _totals(_texts(docs).mapInArrow(run, COUNTED), least)
+        for p in _pieces(batches):
+            rows = p.words()
+            if rows is not None:
+                yield rows
+    counts = _texts(docs).mapInArrow(run, "lang string, phrase string, f long")
+    return counts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _keyed(phrases: DataFrame) -> DataFrame:
-    """Add ``key``, the hash that the texts' phrases have."""
+    """Add ``key`` and ``check``, the hashes that the texts' phrases have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             size = batch.column("words").to_numpy()
-            plain = pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("phrase")], names=["lang", "text"])
-            p = Pieces(plain)
+            p = Pieces(pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("phrase")], names=["lang", "text"]))
             first = np.cumsum(size) - size
-            keys = np.zeros(len(size), dtype=U)
+            hashes = np.zeros((2, len(size)), dtype=U)
             for n in np.unique(size):
-                keys[size == n] = p.keys(first[size == n], int(n))
-            yield pa.RecordBatch.from_arrays([batch.column("words"), pa.array(keys.view(np.int64))], names=["words", "key"])
-    return phrases.select("lang", "phrase", "words").mapInArrow(run, "words int, key long")
+                for which in (0, 1):
+                    hashes[which, size == n] = p.keys(first[size == n], int(n), which)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(h.view(np.int64)) for h in hashes)], names=[*batch.schema.names, "key", "check"])
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in phrases.schema)
+    return phrases.mapInArrow(run, f"{fields}, key long, check long")
+
+
+def word_bitmap(words: DataFrame) -> np.ndarray:
+    """Bits of the slots that keys of ``words`` fall into: at most
+    2^WORD_BITS bits, gathered as bitmaps of 32,768."""
+    slot = F.shiftrightunsigned("key", 64 - WORD_BITS)
+    rows = (words.select((slot / 32768).cast("long").alias("part"), (slot % 32768).alias("bit"))
+            .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
+    out = np.zeros((1 << WORD_BITS) // 8, dtype=np.uint8)
+    for r in rows:
+        out[4096 * r["part"]:4096 * (r["part"] + 1)] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
+def grown(docs: DataFrame, chosen: DataFrame, words: DataFrame, bitmap: np.ndarray, least: int, longest: int) -> DataFrame:
+    """lang, phrase, words and f of all phrases with a word more than one of
+    ``chosen`` (lang, phrase, words, key, check, place), before or after it."""
+    rows = chosen.select("words", "key", "check", "place").toPandas()  # at most a block
+    frontier = docs.sparkSession.sparkContext.broadcast(Frontier(rows, longest, bitmap))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in _pieces(batches):
+            yield from frontier.value.grow(p)
+
+    counts = (_texts(docs).mapInArrow(run, "known long, word_key long, word_check long, f long")
+              .groupBy("known", "word_key", "word_check").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+              .withColumn("place", F.shiftright("known", 1)))
+    named = counts.join(chosen.select("place", "lang", F.col("phrase").alias("inner"), "words"), "place").join(
+        words.select("lang", F.col("phrase").alias("word"), F.col("key").alias("word_key"), F.col("check").alias("word_check")),
+        ["lang", "word_key", "word_check"])
+    phrase = F.when(F.col("known") % 2 == 0, F.concat_ws(" ", "inner", "word")).otherwise(F.concat_ws(" ", "word", "inner"))
+    return named.select("lang", phrase.alias("phrase"), (F.col("words") + 1).alias("words"), "f")
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -260,9 +316,11 @@ def ranked(rows: DataFrame, top: int) -> DataFrame:
 def collocations(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, top: int = TOP,
                  covered: int = COVERED, block: int = BLOCK) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases."""
-    words = _stored(word_counts(docs), "phrases-words")
-    sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    known = words.filter(F.col("f") >= least)
+    everything = _stored(word_counts(docs), "phrases-words")
+    sizes = everything.groupBy("lang").agg(F.sum("f").alias("n"))
+    words = _stored(_keyed(everything.filter(F.col("f") >= least).withColumn("words", F.lit(1))), "phrases-frequent")
+    bitmap = word_bitmap(words)
+    known = words.select("lang", "phrase", "words", "f")
     done = known.limit(0).select("lang", "phrase")
     best, at = None, 0
     while True:
@@ -274,12 +332,13 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGE
             left = left.join(floor, "lang", "left").filter(F.col("bound") >= F.coalesce("floor", F.lit(0))).drop("floor")
         # words first: their counts bound everything that follows
         chosen = left.orderBy(F.desc(F.col("words") == 1), F.desc("bound"), "lang", "phrase").limit(block)
+        # of phrases that share a 64-bit key by chance one waits for the next round
+        chosen = _keyed(chosen.select("lang", "phrase", "words")).dropDuplicates(["words", "key"])
+        chosen = chosen.withColumn("place", F.row_number().over(Window.orderBy("words", "key")) - 1)
         chosen = _stored(chosen, f"phrases-block-{at}")
-        keys = _keyed(chosen).toPandas()
-        if not len(keys):
+        if not chosen.head(1):
             break
-        hashes = [np.unique(keys["key"].to_numpy()[keys["words"].to_numpy() == n].view(U)) for n in range(1, longest)]
-        found = _stored(grown(docs, hashes, least), f"phrases-grown-{at}")
+        found = _stored(grown(docs, chosen, words, bitmap, least, longest), f"phrases-grown-{at}")
         done = _stored(done.unionByName(chosen.select("lang", "phrase")), f"phrases-done-{at}")
         known = _stored(known.unionByName(found).distinct(), f"phrases-known-{at}")
         if not chosen.filter("words = 1").head(1):
