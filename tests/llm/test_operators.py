@@ -186,6 +186,35 @@ def test_html_article_does_not_decide():
     assert kept in html.main_text(f"<article><h2>More</h2><p>Short teaser text.</p></article><div>{story * 3}</div>")
 
 
+STORY = "".join(f"<p>{'A long paragraph of the article with many words in it. ' * 4}</p>" for _ in range(6))
+STORY_TEXT = "\n\n".join([("A long paragraph of the article with many words in it. " * 4).strip()] * 6)
+COMMENTS = f"<section class=comments><p>{'I disagree with all of this. ' * 40}</p></section>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><body><article>{STORY}</article>",
+    f"<head><title>T</title><div><nav><a href=x>Home</a></nav>{STORY}</div>",
+    f"<body><a name=top><article>{STORY}</article>",
+    f"<body><a href=#top>Top<article>{STORY}</article>",
+    f"<div class='content with-sidebar'>{STORY}</div><div class='left-sidebar'><p>{'other side words ' * 10}</p></div>",
+    f"<article class='post category-promo'>{STORY}</article><div class='cookie-notice'>{STORY}</div>",
+    f"<article class='post comment-open'>{STORY}</article>{COMMENTS}",
+    f"<nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul><article>{STORY}</article><footer>Foot notes</footer>",
+    f"<form action=x><nav><a href=/a>Home</a></nav><article>{STORY}</article>{COMMENTS}<footer>Foot</footer></form>",
+    f"<article>{STORY}</article><footer><p>{'Notes at the foot of the page. ' * 20}</p></footer>",
+    f"<article>{STORY}"])
+def test_html_keeps_the_article(page):
+    assert html.main_text(page) == STORY_TEXT
+
+
+def test_html_short_story_beside_long_other_text():
+    for other in (COMMENTS, f"<footer>{'All rights are reserved here. ' * 30}</footer>", f"<div id=cookie-banner>{'We use cookies. ' * 60}</div>",
+                  f"<nav>{STORY}</nav>"):
+        assert html.main_text(f"<article><h1>T</h1><p>Short.</p></article>{other}") == "T\n\nShort."
+    long = "word " * 300_000
+    assert html.main_text(f"<p>{long}</p>") == long.strip() and html.main_text("<" * 5000) is not None
+
+
 def test_licences_and_inheritance(spark):
     files = spark.createDataFrame([
         ("p/LICENSE", "Released under the MIT License."), ("p/src/a.py", "x = 1"), ("p/src/b.py", "# Licensed under the Apache License, Version 2.0."),
