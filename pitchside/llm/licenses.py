@@ -7,10 +7,11 @@ not empty without their comment marks) and every window of up to
 A segment is scored if its telling terms (all but ``PLAIN``) are near those
 of some template: the share of common terms, over the geometric mean of both
 counts, reaches ``MIN_NEAR``. A file with such a segment has its whole text
-scored too. Equal segments are scored once. Weights are
-TF-IDF over the segments and templates, the term frequency by its logarithm;
-vectors stay sparse rows (segment, term), and only terms that a template has
-meet a template. The template vectors are a broadcast bounded by
+scored too. Equal segments are scored once. Weights are TF-IDF, the term
+frequency by its logarithm and document frequencies over the templates alone,
+so that a file's licence does not depend on the other files; vectors stay
+sparse rows (segment, term), and only terms that a template has meet a
+template. The template vectors are a broadcast bounded by
 ``TEMPLATES`` and the licence texts.
 
 A file is a licence file if its name says so, or if its name has no
@@ -19,9 +20,13 @@ directory. A file without a licence of its
 own takes that of the nearest ancestor directory with one, found by joining
 the distinct directories, with their ancestors, to the licensed ones.
 
+``licence`` is that of the best segment; ``licences`` has it and every other
+licence that some segment of the file matches with ``ALSO_SCORE`` or more, in
+order of names.
+
 Defined results: null text has no segments; a null path has no directory
-and inherits nothing; a tie between templates goes to the smaller licence
-name, between licence files of one directory to the better score, then the
+and inherits nothing; a tie between templates or segments goes to the smaller
+licence name, between licence files of one directory to the better score, then the
 smaller licence and path; rows that repeat path and text are scanned alike;
 an empty table gives an empty result; extra columns are kept, but for those
 named as a column of ``RESERVED``, which the scan's own replace.
@@ -31,7 +36,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from math import sqrt
+from math import log, sqrt
 from pathlib import Path
 
 import pyarrow as pa
@@ -40,6 +45,7 @@ from pyspark.sql import functions as F
 
 LICENCE_FILE = "(?i)^(un)?licen[sc]e|^copying|^copyright|^notice(\\.|$)"
 MIN_SCORE = 0.5
+ALSO_SCORE = 0.8
 MIN_NEAR = 0.3
 MAX_LINES = 16
 LONG = 200  # a template of more telling terms meets blocks over MAX_LINES and whole texts only
@@ -50,7 +56,7 @@ TERM = re.compile("[^\\W_]+(?:[.-][^\\W_]+)*")
 MARKS = re.compile("^\\s*(?:/\\*+|\\*+/|\\*+|//+|#+|--+|;+|%+|<!--|\"\"\"|'''|rem\\b|dnl\\b)?\\s*|\\s*(?:\\*+/|-->|\"\"\"|''')?\\s*$", re.I)
 # Columns the scan works with or returns.
 RESERVED = {"path_key", "no_path", "text", "content", "text_key", "own_licence", "own_score", "whole", "directory",
-            "from_directory", "from_licence", "licence", "score", "origin", "licence_directory"}
+            "from_directory", "from_licence", "licence", "licences", "own_licences", "score", "origin", "licence_directory"}
 
 # Short notices and headers by SPDX name (fixed values).
 TEMPLATES = [
@@ -125,13 +131,15 @@ POSSIBILITY OF SUCH DAMAGE.""")
     # licences of many pages, one file each
     *[(path.stem, path.read_text()) for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))],
 ]
+# headers that only name the licence
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in sorted({name for name, _ in TEMPLATES} - {"Proprietary"})]
 
 
 def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}]+(?:[.-][\\p{L}\\p{N}]+)*"), F.lit(0))
 
 
-def finder(templates: list[tuple[str, str]]):
+def finder(templates: list[tuple[str, str]], min_near: float = MIN_NEAR):
     """A function from a text to its (kind, segment) near a template."""
     telling = lambda text: set(TERM.findall(text.lower())) - PLAIN
     sets = sorted({tuple(sorted(telling(t))) for _, t in templates})
@@ -145,7 +153,7 @@ def finder(templates: list[tuple[str, str]]):
 
     def near(terms: set[str], index: dict[str, list[int]] = having) -> bool:
         common = Counter(n for term in terms & index.keys() for n in index[term])
-        return any(k >= MIN_NEAR * sqrt(len(terms) * len(sets[n])) for n, k in common.items())
+        return any(k >= min_near * sqrt(len(terms) * len(sets[n])) for n, k in common.items())
 
     def found(text: str | None) -> set[tuple[str, str]]:
         whole = telling(text or "")
@@ -174,10 +182,10 @@ def finder(templates: list[tuple[str, str]]):
     return found
 
 
-def segments(files: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
+def segments(files: DataFrame, templates: list[tuple[str, str]], min_near: float = MIN_NEAR) -> DataFrame:
     """(row key, kind, segment) of every segment near a template."""
     def search(batches):
-        found = finder(templates)
+        found = finder(templates, min_near)
         names = ["path_key", "text_key", "kind", "segment"]
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -199,12 +207,10 @@ def scores(distinct: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
     counted = lambda rows: (rows.select("segment_key", F.explode(terms_of(F.col("segment"))).alias("term"))
                             .groupBy("segment_key", "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf")))
     found, given = counted(distinct), counted(known)
-    documents = found.unionByName(given)
-    df = documents.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = (distinct.select(F.lit(1).alias("one")).unionByName(known.select(F.lit(1).alias("one")))
-             .agg(F.count("one").alias("n")))
-    idf = df.join(F.broadcast(total)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weight = lambda rows: rows.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    rare = log(1 + len(templates)) + 1  # of a term that no template has
+    idf = given.groupBy("term").agg((F.lit(rare) - F.log(1 + F.count(F.lit(1)))).alias("idf"))
+    weight = lambda rows: rows.join(F.broadcast(idf), "term", "left").withColumn(
+        "w", F.col("tf") * F.coalesce("idf", F.lit(rare)))
     norm = lambda rows: rows.groupBy("segment_key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     given = weight(given)
     given = (given.join(norm(given), "segment_key").join(known.select("segment_key", "licence"), "segment_key")
@@ -232,25 +238,28 @@ def ancestors_of(directory: Column) -> Column:
 
 
 def scan(files: DataFrame, path: Column, text: Column, min_score: float = MIN_SCORE,
-         templates: list[tuple[str, str]] | None = None) -> DataFrame:
+         templates: list[tuple[str, str]] | None = None, also_score: float = ALSO_SCORE,
+         min_near: float = MIN_NEAR) -> DataFrame:
     """One row per file: its columns, ``licence`` (null: none), ``score`` of
-    its own match, ``origin`` ('own', 'inherited', 'none') and
+    its own match, ``licences`` of its own text (else the inherited one), ``origin`` ('own', 'inherited', 'none') and
     ``licence_directory`` it inherits from."""
     keyed = files.select(*[f"`{c}`" for c in files.columns if c.lower() not in RESERVED],
                          F.coalesce(path.cast("string"), F.lit("")).alias("path_key"),
                          path.isNull().alias("no_path"), text.cast("string").alias("text"))
     keyed = keyed.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     # the texts are searched once; all that follows reads the segments found
-    named = (segments(keyed.select("path_key", "text_key", "text"), templates or TEMPLATES)
+    named = (segments(keyed.select("path_key", "text_key", "text"), templates or TEMPLATES, min_near)
              .withColumn("segment_key", F.sha2("segment", 256)).checkpoint())
     best = scores(named.select("segment_key", "segment").dropDuplicates(["segment_key"]),
                   templates or TEMPLATES).filter(F.col("score") >= min_score)
     own = (named.select("path_key", "text_key", "kind", "segment_key").join(best, "segment_key")
            .groupBy("path_key", "text_key").agg(
-               F.max(F.struct("score", "licence")).alias("own"),
+               F.min(F.struct((-F.col("score")).alias("s"), "licence", "score")).alias("own"),
+               F.array_sort(F.collect_set(F.when(F.col("score") >= also_score, F.col("licence")))).alias("also"),
                F.coalesce(F.max(F.col("kind") == "whole"), F.lit(False)).alias("whole")))
     own = own.select("path_key", "text_key", F.col("own.licence").alias("own_licence"),
-                     F.col("own.score").alias("own_score"), "whole")
+                     F.col("own.score").alias("own_score"), "whole",
+                     F.array_sort(F.array_union("also", F.array("own.licence"))).alias("own_licences"))
     matched = (keyed.drop("text").join(own, ["path_key", "text_key"], "left")
                .withColumn("directory", F.when(~F.col("no_path"), directory_of(F.col("path_key")))).checkpoint())
     name = F.regexp_extract("path_key", "[^/]*$", 0)
@@ -267,7 +276,8 @@ def scan(files: DataFrame, path: Column, text: Column, min_score: float = MIN_SC
     has = F.col("own_licence").isNotNull()
     return (matched.join(nearest, "directory", "left")
             .withColumns({
-                "licence": F.coalesce("own_licence", "from_licence"), "score": F.col("own_score"),
+                "licence": F.coalesce("own_licence", "from_licence"),
+                "licences": F.coalesce("own_licences", F.array_compact(F.array("from_licence"))), "score": F.col("own_score"),
                 "origin": F.when(has, "own").when(F.col("from_licence").isNotNull(), "inherited").otherwise("none"),
                 "licence_directory": F.when(~has, F.col("from_directory"))}))
 
@@ -279,4 +289,4 @@ def scan_documents(docs: DataFrame, **options) -> DataFrame:
                                              F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("path"),
                        F.col("text").alias("content"))
     return scan(rows, F.col("path"), F.col("content"), **options).select(
-        "doc_id", "path", "licence", "score", "origin", "licence_directory")
+        "doc_id", "path", "licence", "licences", "score", "origin", "licence_directory")
