@@ -1,23 +1,22 @@
 """Near-duplicate join: Jaccard similarity of word n-gram sets by MinHash
 banding, with every pair verified on its full sets.
 
-1. Texts with equal word sequences collapse to one node (a 64-bit hash of
-   the sequence); all later work is on nodes.
+1. Texts with equal word sequences collapse to one node (by a 128-bit hash
+   of the sequence); all later work is on nodes.
 2. Rows per band and bands follow from the target recall at the threshold
-   (``choose_bands``). Nodes meet in buckets of equal band hashes; each node
-   is tied to the smallest node of its buckets only, never to all of them,
-   and connected components of these ties are the candidate groups.
-3. Within a group all pairs are compared on the full n-gram sets, as block
-   products of incidence matrices. A group beyond ``BLOCK`` texts (or
-   ``BLOCK_WORDS`` words) is dealt to blocks, one task per pair of blocks,
-   so no task holds a whole group. Tasks return the number of links of each
-   node and a spanning forest, never the pairs.
+   (``choose_bands``). Nodes with an equal band hash share a bucket; buckets
+   of several bands with the same members are one set.
+3. The pairs within a set are compared on their full n-gram sets, as block
+   products of incidence matrices. A pair that shares several sets counts in
+   the smallest of them only, so each banded pair is judged once, and pairs
+   that share no band never meet. A set beyond ``BLOCK`` texts (or
+   ``BLOCK_WORDS`` words) is dealt to blocks, one task per pair of blocks, so
+   no task holds a whole set. Tasks return the number of links of each node
+   and a spanning forest, never the pairs.
 4. Connected components of the forests are the classes.
 
-Comparing within groups finds every link whose texts share a band or are
-tied through others; the recall of a lone pair at the threshold is the
-target. Counting links exactly costs the square of a group's distinct
-texts, spread over block pairs.
+The recall of a pair at the threshold is the target. Counting links exactly
+costs the square of a set's distinct texts, spread over block pairs.
 
 Defined results: a text of one to four words has one n-gram, all its words;
 a text without words (null or empty) has none and links to nothing but the
@@ -78,8 +77,8 @@ def _signatures(batches, size: int, bands: int, rows: int):
         for piece in slices(batch, "text", 1 << 20):
             words = Words(piece.column("text"))
             n = len(words.count)
-            prefix = prefix_hash(words.hashes(), WORD_BASES[1])
-            node = range_hash(prefix, WORD_BASES[1], words.first[:-1], words.first[1:])
+            node, check = (range_hash(prefix_hash(words.hashes(which), WORD_BASES[1 - which]), WORD_BASES[1 - which],
+                                      words.first[:-1], words.first[1:]) for which in (0, 1))
             hashes, doc = shingles(words, size)
             full = np.flatnonzero(words.count > 0)
             begin = np.searchsorted(doc, full)
@@ -95,8 +94,8 @@ def _signatures(batches, size: int, bands: int, rows: int):
                                              pa.array(out[full].reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_key"), piece.column("text_tag"), pa.array(node.view(np.int64)),
-                 pa.array(words.count.astype(np.int64)), lists],
-                names=["doc_key", "text_tag", "node", "n_words", "bands"])
+                 pa.array(check.view(np.int64)), pa.array(words.count.astype(np.int64)), lists],
+                names=["doc_key", "text_tag", "sequence", "check", "n_words", "bands"])
 
 
 def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -134,30 +133,47 @@ def _forest(linked: np.ndarray) -> np.ndarray:
     return label
 
 
-VERIFIED = "node long, other long, text_links long, doc_links long, blocks int"
+def _met_before(sets: pa.ListArray, here: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairs that share a set smaller than this one."""
+    row = np.repeat(np.arange(len(sets)), sets.value_lengths().to_numpy(zero_copy_only=False))
+    value = sets.flatten().to_numpy(zero_copy_only=False)
+    row, value = row[value < here], value[value < here]
+    names, column, seen = np.unique(value, return_inverse=True, return_counts=True)
+    out = np.zeros((len(left), len(right)), dtype=bool)
+    column, row = column[seen[column] > 1], row[seen[column] > 1]
+    for at in range(0, len(names), 2048):
+        part = (column >= at) & (column < at + 2048)
+        there = np.zeros((len(sets), min(2048, len(names) - at)), np.float32)
+        there[row[part], column[part] - at] = 1
+        out |= there[left] @ there[right].T > 0
+    return out
+
+
+VERIFIED = "node long, other long, text_links long, doc_links long"
 
 
 def _verify(batches, size: int, threshold: str):
     """Per node of each pair of blocks: its links there and the smallest
     node it is connected to there."""
     limit = Fraction(threshold)
-    for table in key_groups(batches, ["group", "low", "high"]):
+    for table in key_groups(batches, ["set", "low", "high"]):
         table = table.combine_chunks().sort_by("node")
         block = table.column("block").to_numpy()
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        here, low, high = (table.column(c)[0].as_py() for c in ("set", "low", "high"))
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        if not len(left) or not len(right):
+            continue
         node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
         words = Words(table.column("text"))
         hashes, doc = shingles(words, size)
         cuts = np.searchsorted(doc, np.arange(len(node) + 1))
         sets = [np.unique(hashes[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
         sizes = np.array([len(s) for s in sets])
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        if not len(left) or not len(right):
-            continue
         both = _intersections(sets, left, right)
         # |a & b| / |a | b| >= p / q, in whole numbers
         p, q = limit.numerator, limit.denominator
         linked = both * (p + q) >= p * (sizes[left][:, None] + sizes[right][None, :])
+        linked &= ~_met_before(table.column("sets").combine_chunks(), here, left, right)
         whole = np.zeros((len(node), len(node)), dtype=bool)
         whole[np.ix_(left, right)] = linked
         if low == high:
@@ -165,10 +181,10 @@ def _verify(batches, size: int, threshold: str):
         else:
             whole[np.ix_(right, left)] = linked.T
         links, docs = whole.sum(axis=1), whole @ copies
-        label = _forest(whole)
+        label, found = _forest(whole), links > 0
         yield pa.RecordBatch.from_arrays(
-            [pa.array(node), pa.array(node[label]), pa.array(links.astype(np.int64)), pa.array(docs.astype(np.int64)),
-             table.column("blocks").combine_chunks()], names=["node", "other", "text_links", "doc_links", "blocks"])
+            [pa.array(node[found]), pa.array(node[label][found]), pa.array(links[found].astype(np.int64)),
+             pa.array(docs[found].astype(np.int64))], names=["node", "other", "text_links", "doc_links"])
 
 
 def link(docs: DataFrame, size: int = SHINGLE, threshold: str = THRESHOLD, recall: float = RECALL,
@@ -182,43 +198,41 @@ def link(docs: DataFrame, size: int = SHINGLE, threshold: str = THRESHOLD, recal
     texts = keyed(docs, id_col, text_col)
     signed = texts.mapInArrow(
         partial(_signatures, size=size, bands=bands, rows=rows),
-        "doc_key long, text_tag long, node long, n_words long, bands array<long>").checkpoint()
-    nodes = signed.groupBy("node").agg(
-        F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words"),
-        F.min(F.struct(*KEY)).alias("first")).select("node", "copies", "n_words", "first.*").checkpoint()
-
-    banded = signed.select("node", F.explode("bands").alias("band")).distinct()
-    buckets = (banded.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-               .filter("least < most").select("band", "least"))
-    ties = (banded.join(buckets, "band").filter("node <> least")
-            .select("node", F.col("least").alias("other")).distinct())
-    groups = components(ties, "node", "other").withColumnRenamed("label", "group")
-
-    known = groups.join(nodes, "node").withColumn("h", F.xxhash64("node"))
-    sizes = known.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"))
-    sizes = sizes.select("group", F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("words") / block_words))
-                         .cast("int").alias("blocks"))
-    dealt = known.join(sizes, "group").withColumn("block", F.pmod("h", F.col("blocks").cast("long")).cast("int"))
-    dealt = dealt.select("node", "group", "block", "blocks", "copies", *KEY)
-    placed = (texts.join(dealt.hint("shuffle_hash"), KEY).dropDuplicates(KEY)
-              .withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("node", "group", "block", "blocks", "copies", "text",
-                      F.least("block", "partner").alias("low"), F.greatest("block", "partner").alias("high"))
-              .repartition("group", "low", "high").sortWithinPartitions("group", "low", "high"))
-    checked = placed.mapInArrow(partial(_verify, size=size, threshold=threshold), VERIFIED).checkpoint()
+        "doc_key long, text_tag long, sequence long, check long, n_words long, bands array<long>").checkpoint()
+    same = ["sequence", "check"]
+    nodes = signed.groupBy(*same).agg(
+        F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words"), F.any_value("bands").alias("bands"),
+        F.min(F.struct(*KEY)).alias("first")).select(
+        *same, "copies", "n_words", "bands", "first.*", F.monotonically_increasing_id().alias("node")).checkpoint()
+
+    banded = nodes.select("node", "n_words", F.explode("bands").alias("band"))
+    members = [F.bit_xor(F.xxhash64(F.lit(k), F.col("node"))).alias(f"m{k}") for k in (0, 1)]
+    buckets = banded.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"), *members).filter("n > 1")
+    sets = buckets.groupBy("n", "words", "m0", "m1").agg(F.min("band").alias("band"))
+    sets = sets.select("band", F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("words") / block_words))
+                       .cast("int").alias("blocks"))
+    placed = banded.join(sets, "band").select("node", F.col("band").alias("set"), "blocks").checkpoint()
+    mine = placed.groupBy("node").agg(F.sort_array(F.collect_list("set")).alias("sets"))  # one per band at most
+    dealt = (placed.join(mine, "node").join(nodes.select("node", "copies", *KEY), "node")
+             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")))
+    dealt = (texts.join(dealt.hint("shuffle_hash"), KEY).dropDuplicates([*KEY, "set"])
+             .withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("node", "set", "sets", "block", "copies", "text",
+                     F.least("block", "partner").alias("low"), F.greatest("block", "partner").alias("high"))
+             .repartition("set", "low", "high").sortWithinPartitions("set", "low", "high"))
+    checked = dealt.mapInArrow(partial(_verify, size=size, threshold=threshold), VERIFIED).checkpoint()
 
     links = checked.groupBy("node").agg(F.sum("text_links").alias("text_links"), F.sum("doc_links").alias("doc_links"))
-    # a group of one block is settled by its task; larger ones meet in the forests
-    whole = checked.filter("blocks = 1").select("node", F.col("other").alias("label"))
-    spread = components(checked.filter("blocks > 1 and node <> other").select("node", "other"), "node", "other")
-    labels = nodes.join(links, "node", "left").join(whole.unionByName(spread), "node", "left").withColumn(
+    joined = components(checked.filter("node <> other").select("node", "other"), "node", "other")
+    labels = nodes.drop("bands").join(links, "node", "left").join(joined, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     classes = labels.groupBy("label").agg(F.min(F.struct(*KEY)).alias("c")).select(
         "label", F.col("c.doc_key").alias("class_key"), F.col("c.text_tag").alias("class_tag"))
     result = labels.join(classes, "label").select(
-        "node", "class_key", "class_tag", F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
+        *same, "class_key", "class_tag", F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
         (F.coalesce("doc_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return signed.select(*KEY, "node").join(result, "node").select(
+    return signed.select(*KEY, *same).join(result, same).select(
         *KEY, "class_key", "class_tag", "n_links", "n_text_links")
 
 
