@@ -46,6 +46,12 @@ def domain_of(source: Column) -> Column:
     return F.regexp_extract(F.coalesce(source, F.lit("")), "^[A-Za-z]*", 0)
 
 
+def family_of(source: Column) -> Column:
+    """The letters a source name starts with and the digit after them: the
+    domain of a name like ``web12`` among web1, web10, web11, ..."""
+    return F.regexp_extract(F.coalesce(source, F.lit("")), "^[A-Za-z]*[0-9]?", 0)
+
+
 def word_tokens(text: Column) -> Column:
     return F.size(words_of(F.coalesce(text, F.lit("")))).cast("long")
 

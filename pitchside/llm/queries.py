@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (divergence, html, jaccard, licenses, lines, mixing, packing, phrases, quality, substring, suffix,
                syncmers, urls)
 from .keys import doc_id_of
 
+# Target weights of the mixing query (fixed values); the rest weighs 1.
+DOMAIN_WEIGHTS = {"src1": 2, "src0": 3}
+SOURCE_WEIGHTS = {"src7": 2, "src10": 5, "src12": 2, "src19": 3}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -35,7 +40,8 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drawn = mixing.mix(table(spark, sf_dir, "documents"))
+    drawn = mixing.mix(table(spark, sf_dir, "documents"), domain=mixing.family_of(F.col("source")),
+                       domain_weights=DOMAIN_WEIGHTS, source_weights=SOURCE_WEIGHTS)
     return drawn.select(doc_id_of(drawn["doc_key"]).alias("doc_id"), "domain", "lang", "source", "epoch",
                         "tokens", "taken")
 
@@ -104,21 +110,25 @@ _SHARE = """
 {name} as (select *, case when is_full then capacity
   else ((budget - taken_all)::hugeint * weight::hugeint) // w_all::hugeint end granted from {name}_s)"""
 
+def _weight(column: str, weights: dict[str, int]) -> str:
+    return f"case {column} " + " ".join(f"when '{k}' then {w}" for k, w in weights.items()) + " else 1 end"
+
+
 ORACLES["op3_mixing"] = f"""
 with rows_ as (
-  select distinct doc_id, coalesce(text, '') text, regexp_extract(coalesce(source, ''), '^[A-Za-z]*') domain_,
+  select distinct doc_id, coalesce(text, '') text, regexp_extract(coalesce(source, ''), '^[A-Za-z]*[0-9]?') domain_,
     coalesce(lang, '') lang_, coalesce(source, '') source_ from documents),
 t as (select *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::bigint tokens from rows_),
 leaf as (select domain_, lang_, source_, sum(tokens)::bigint tokens, sum(tokens)::bigint * {mixing.MAX_EPOCHS} capacity
   from t group by all having sum(tokens) > 0),
-d_i as (select domain_, sum(capacity)::bigint capacity, 1 weight, 0 root,
+d_i as (select domain_, sum(capacity)::bigint capacity, {_weight('domain_', DOMAIN_WEIGHTS)} weight, 0 root,
   (select sum(tokens)::bigint from leaf) budget from leaf group by 1),
 {_SHARE.format(name="d", parent="root", key="domain_")},
 l_i as (select l.domain_, l.lang_, sum(l.capacity)::bigint capacity,
   case l.lang_ when 'en' then 4 when 'de' then 2 when 'fr' then 2 when 'es' then 2 else 1 end weight,
   any_value(d.granted) budget from leaf l join d using (domain_) group by 1, 2),
 {_SHARE.format(name="l", parent="domain_", key="lang_")},
-s_i as (select leaf.*, 1 weight, l.granted budget from leaf join l using (domain_, lang_)),
+s_i as (select leaf.*, {_weight('source_', SOURCE_WEIGHTS)} weight, l.granted budget from leaf join l using (domain_, lang_)),
 {_SHARE.format(name="s", parent="domain_, lang_", key="source_")},
 plan as (select domain_, lang_, source_, (granted // tokens)::bigint whole, (granted % tokens)::bigint rest from s),
 placed as (select t.*, whole, rest, coalesce(sum(tokens) over (partition by domain_, lang_, source_
