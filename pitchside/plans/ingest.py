@@ -108,16 +108,18 @@ def checked_batch(raw_rows: DataFrame, layout: str, core_only: bool, reject: str
     events = R.explode_events(raw_rows, layout)
     # the typed rows feed the facts, the rules and the write: computed once
     typed = typed_events(events, core_only).persist(StorageLevel.MEMORY_AND_DISK)
-    facts = R.file_facts(typed, REQUIRED_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
+    # one aggregate per file decides what is accepted: events are not shuffled
+    failed = F.col("_has_value") & Q.any_failed(Q.RAW_ROW_RULES)
+    facts = R.file_facts(typed, REQUIRED_KEYS, failed).persist(StorageLevel.MEMORY_AND_DISK)
     rows = typed.filter(F.col("_has_value"))
-    row_viol = Q.violations(rows, Q.RAW_ROW_RULES, ["unit", "match_id"])
     by_file = R.file_rejections(facts, REQUIRED_KEYS)
-    viol = row_viol.unionByName(by_file).select(*_VIOLATION_COLS)
+    viol = Q.violations(rows, Q.RAW_ROW_RULES, ["unit", "match_id"]).unionByName(by_file).select(*_VIOLATION_COLS)
+    invalid = by_file.select("unit")
     if reject == "row":
-        invalid = by_file.select("unit").distinct()
         rows = rows.filter(~Q.any_failed(Q.RAW_ROW_RULES))
     else:
-        invalid = viol.select("unit").distinct()
+        invalid = invalid.unionByName(facts.filter("n_failed > 0").select("unit"))
+    invalid = invalid.distinct()
     return Checked(typed, facts, rows, viol, invalid)
 
 

@@ -86,8 +86,9 @@ def present(value: Column, raw_name: str) -> Column:
     return F.variant_get(value, f"$.{raw_name}", "variant").isNotNull()
 
 
-def file_facts(events: DataFrame, required: list[str] = REQUIRED_KEYS) -> DataFrame:
-    """One row per source file: corrupt, event count and required-key presence.
+def file_facts(events: DataFrame, required: list[str] = REQUIRED_KEYS, failed: Column | None = None) -> DataFrame:
+    """One row per source file: corrupt, event count and required-key presence,
+    and with a row condition ``failed`` how many rows meet it (``n_failed``).
 
     A per-file aggregate: partial aggregation leaves one row per file per
     task, so the shuffle carries file counts, never events.
@@ -101,6 +102,8 @@ def file_facts(events: DataFrame, required: list[str] = REQUIRED_KEYS) -> DataFr
     aggs = [F.max(F.col("corrupt").cast("int")).alias("corrupt"), n.alias("n_events"),
             F.max("modified").alias("modified")]
     aggs += [F.bool_or(has(k)).alias(f"has_{k}") for k in required]
+    if failed is not None:
+        aggs.append(F.count_if(failed).alias("n_failed"))
     return events.groupBy("unit", "match_id", "version").agg(*aggs)
 
 

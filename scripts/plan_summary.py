@@ -12,12 +12,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pitchside.registry import QUERIES  # noqa: E402
+from pitchside.registry import QUERIES, SIDE_EFFECT_KEYS  # noqa: E402
 from pitchside.session import build_session  # noqa: E402
 
-# keys whose callables write files before returning (their plan is a re-read)
-SIDE_EFFECT_KEYS = {"ingest_raw", "stream_ingest", "pipeline_run", "export_match_json", "stream_dlq_alarm"}
-
 
 def summarize(plan: str) -> dict:
     lines = plan.splitlines()
