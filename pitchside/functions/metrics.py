@@ -11,7 +11,8 @@ of exponents, the limbs are added as int64 (order independent, partial sums
 merge), and the total is rounded to a double once. The grid reaches from
 2^-128 to 2^63: all doubles from about 3e-23 to 9e18 are on it bit for bit.
 A group with a value outside (or NaN, infinity) gets Spark's own sum.
-A limb of a row is at most 2^23, so a group may have 2^40 rows.
+A limb of a row is at most 2^23, so a group may have 2^40 rows; beyond that
+its sum is Spark's own as well.
 """
 
 from __future__ import annotations
@@ -43,10 +44,10 @@ def is_true(col: Column | str) -> Column:
 def _limbs(x: Column) -> list[Column]:
     """Integers whose sum over 2^exponent is x: differences of x rounded to
     the grid of each exponent (scaling by powers of two and the differences
-    are exact in binary)."""
+    are exact in binary). Off the grid they mean nothing and may be null."""
     at = [F.rint(x * F.lit(2.0 ** -e)) for e in LIMB_EXPONENTS]
     parts = at[:1] + [low - high * F.lit(2.0 ** LIMB_BITS) for high, low in zip(at, at[1:])]
-    return [p.cast("bigint") for p in parts]
+    return [p.try_cast("bigint") for p in parts]
 
 
 def _off_grid(x: Column) -> Column:
@@ -57,18 +58,19 @@ def _off_grid(x: Column) -> Column:
 def sum_state(col: Column | str) -> Column:
     """Aggregate: the exact sum of a double column as a struct of integers
     that merges with others (``merge_states``) and is read by ``state_sum``
-    and ``state_mean``. Nulls are ignored; ``n`` counts the values."""
+    and ``state_mean``. Nulls are ignored; ``n`` counts the values, ``off``
+    those that are not on the grid and ``plain`` is the engine's own sum."""
     x = _c(col).cast("double")
-    on = F.when(~_off_grid(x), x)
     return F.struct(
-        F.count(x).alias("n"), *[F.sum(p).alias(name) for name, p in zip(LIMBS, _limbs(on))],
-        F.sum(F.when(_off_grid(x), x)).alias("other"))
+        F.count(x).alias("n"), *[F.try_sum(p).alias(name) for name, p in zip(LIMBS, _limbs(x))],
+        F.count_if(_off_grid(x)).alias("off"), F.sum(x).alias("plain"))
 
 
 def merge_states(state: Column | str) -> Column:
     """Aggregate: the state of the union of the rows of several states."""
     s = _c(state)
-    return F.struct(*[F.sum(s[name]).alias(name) for name in ["n", *LIMBS, "other"]])
+    return F.struct(F.sum(s["n"]).alias("n"), *[F.try_sum(s[name]).alias(name) for name in LIMBS],
+                    F.sum(s["off"]).alias("off"), F.sum(s["plain"]).alias("plain"))
 
 
 def _two(k: int) -> Column:
@@ -84,7 +86,7 @@ def _rounded(s: Column) -> Column:
     one decimal, with a last bit that tells whether anything lies below; its
     cast to double is the one rounding.
     """
-    limb = lambda k: F.coalesce(s[LIMBS[k]], F.lit(0)).cast("decimal(38,0)")
+    limb = lambda k: s[LIMBS[k]].cast("decimal(38,0)")
     join = lambda k: limb(k) * _two(2 * LIMB_BITS) + limb(k + 1) * _two(LIMB_BITS) + limb(k + 2)
     whole = lambda c: c.cast("decimal(38,0)")
     let = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
@@ -114,10 +116,13 @@ def _rounded(s: Column) -> Column:
 
 
 def state_sum(state: Column | str) -> Column:
-    """The sum of a state, rounded once (null on no values)."""
+    """The sum of a state, rounded once (null on no values); with a value off
+    the grid, or limbs beyond int64, the engine's own sum."""
     s = _c(state)
-    total = _rounded(s)
-    return F.when(s["n"] > 0, F.when(s["other"].isNull(), total).otherwise(s["other"] + total))
+    exact = (s["off"] == 0) & s[LIMBS[0]].isNotNull()
+    for name in LIMBS[1:]:
+        exact = exact & s[name].isNotNull()
+    return F.when(s["n"] > 0, F.when(exact, _rounded(s)).otherwise(s["plain"]))
 
 
 def state_mean(state: Column | str) -> Column:

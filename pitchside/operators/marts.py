@@ -28,8 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import (count_when, exact_mean, exact_sum, false_if_null, is_true, merge_states,
-                                 round_half, safe_pct, state_mean, state_sum, sum_state, zero_if_null)
+from ..functions.metrics import (count_when, false_if_null, is_true, merge_states, round_half, safe_pct,
+                                 state_mean, state_sum, sum_state, zero_if_null)
 from ..functions.events import home_away, is_goal, is_on_target, time_bracket
 from ..schema import DRIBBLE, PASS, PRESSURE, SHOT
 
@@ -59,28 +59,28 @@ PLAYER_COLUMNS = [
 def player_aggregates(events: DataFrame) -> DataFrame:
     """One pass: per (match, team, player) all pass, shot and dribble metrics."""
     p, s, d = _is(PASS), _is(SHOT), _is(DRIBBLE)
-    return events.groupBy("match_id", "team_name", "player_name").agg(
+    agg = events.groupBy("match_id", "team_name", "player_name").agg(
         F.count_if(p).alias("total_passes"),
         count_when(p & F.col("pass_outcome").isNull()).alias("completed_passes"),
         count_when(p & (F.col("pass_outcome") == "Incomplete")).alias("incomplete_passes"),
-        round_half(exact_mean(F.when(p, F.col("pass_length"))), 2).alias("avg_pass_length"),
+        sum_state(F.when(p, F.col("pass_length"))).alias("pass_length"),
         count_when(p & is_true("pass_goal_assist")).alias("goal_assists"),
         count_when(p & is_true("pass_shot_assist")).alias("shot_assists"),
         count_when(p & is_true("pass_cross")).alias("crosses"),
         count_when(p & is_true("pass_through_ball")).alias("through_balls"),
-        count_when(p & is_true("pass_switch")).alias("switches"),
         F.count_if(s).alias("total_shots"),
         count_when(s & (F.col("shot_outcome") == "Goal")).alias("goals"),
-        count_when(s & (F.col("shot_outcome") == "Saved")).alias("shots_saved"),
         count_when(s & (F.col("shot_outcome") == "On Target")).alias("shots_on_target"),
-        round_half(exact_sum(F.when(s, F.col("shot_xg"))), 3).alias("total_xg"),
-        round_half(exact_mean(F.when(s, F.col("shot_xg"))), 3).alias("avg_xg_per_shot"),
+        sum_state(F.when(s, F.col("shot_xg"))).alias("shot_xg"),
         count_when(s & is_true("shot_first_time")).alias("first_time_shots"),
         count_when(s & is_true("shot_one_on_one")).alias("one_on_ones"),
-        count_when(s & is_true("shot_open_goal")).alias("open_goal_shots"),
         F.count_if(d).alias("total_dribbles"),
         count_when(d & (F.col("dribble_outcome") == "Complete")).alias("successful_dribbles"),
     )
+    agg = agg.withColumns({"xg": state_sum("shot_xg"), "avg_pass_length": round_half(state_mean("pass_length"), 2)})
+    return agg.withColumns({
+        "total_xg": round_half("xg", 3),
+        "avg_xg_per_shot": round_half(F.try_divide("xg", F.col("shot_xg.n")), 3)}).drop("xg", "pass_length", "shot_xg")
 
 
 _PASS_METRICS = ["total_passes", "completed_passes", "incomplete_passes", "avg_pass_length",
@@ -172,14 +172,12 @@ def team_aggregates(events: DataFrame) -> DataFrame:
         count_when(p & F.col("pass_outcome").isNull()).alias("completed_passes"),
         count_when(p & is_true("pass_cross")).alias("crosses"),
         count_when(p & is_true("pass_through_ball")).alias("through_balls"),
-        count_when(p & is_true("pass_switch")).alias("switches"),
         count_when(p & is_true("pass_goal_assist")).alias("assists"),
         sum_state(pl).alias("pass_length"),
         F.count_if(s).alias("total_shots"),
         count_when(s & (F.col("shot_outcome") == "Goal")).alias("goals"),
         count_when(s & (F.col("shot_outcome") == "Saved")).alias("shots_saved"),
         sum_state(F.when(s, F.col("shot_xg"))).alias("shot_xg"),
-        count_when(s & is_true("shot_open_goal")).alias("open_goal_shots"),
         count_when(s & is_true("shot_one_on_one")).alias("one_on_ones"),
         F.count_if(d).alias("total_dribbles"),
         count_when(d & (F.col("dribble_outcome") == "Complete")).alias("successful_dribbles"),
@@ -296,7 +294,7 @@ def mart_pass_networks(events: DataFrame, min_passes: int = 2, ordered: bool = F
         F.count(F.lit(1)).alias("total_passes"),
         completed.alias("completed_passes"),
         count_when(F.col("pass_outcome") == "Incomplete").alias("incomplete_passes"),
-        round_half(exact_mean("pass_length"), 2).alias("avg_pass_length"),
+        sum_state("pass_length").alias("pass_length"),
         round_half(F.min("pass_length"), 2).alias("min_pass_length"),
         round_half(F.max("pass_length"), 2).alias("max_pass_length"),
         count_when(is_true("pass_cross")).alias("crosses"),
@@ -304,10 +302,12 @@ def mart_pass_networks(events: DataFrame, min_passes: int = 2, ordered: bool = F
         count_when(is_true("pass_switch")).alias("switches"),
         count_when(is_true("pass_goal_assist")).alias("goal_assists"),
         count_when(is_true("pass_shot_assist")).alias("shot_assists"),
-        round_half(exact_mean("minute"), 1).alias("avg_minute"),
+        # whole numbers add up exactly as they are
+        round_half(F.try_divide(F.sum("minute"), F.count("minute")), 1).alias("avg_minute"),
     )
     net = (net.filter(F.col("total_passes") >= min_passes)
-              .withColumn("completion_pct", safe_pct("completed_passes", "total_passes"))
+              .withColumns({"completion_pct": safe_pct("completed_passes", "total_passes"),
+                            "avg_pass_length": round_half(state_mean("pass_length"), 2)})
               .select(*NETWORK_COLUMNS))
     if ordered:
         net = net.orderBy(F.col("match_id").asc_nulls_first(), F.col("team_name").asc_nulls_first(),
