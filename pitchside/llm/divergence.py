@@ -29,7 +29,7 @@ are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,17 +52,17 @@ _TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b
 
 
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     size = 0
 
     def out() -> pa.RecordBatch:
         langs, sources, terms, n, docs = [], [], [], [], []
-        for (lang, source), own in held.items():
-            langs += [lang] * len(own)
-            sources += [source] * len(own)
-            terms += own.keys()
-            n += (x[0] for x in own.values())
-            docs += (x[1] for x in own.values())
+        for (lang, source), (times, rows) in held.items():
+            langs += [lang] * len(times)
+            sources += [source] * len(times)
+            terms += times
+            n += times.values()
+            docs += map(rows.__getitem__, times)
         held.clear()
         return pa.RecordBatch.from_arrays(
             [pa.array(langs, pa.string()), pa.array(sources, pa.string()),
@@ -72,21 +72,14 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         groups = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
         for group, text in zip(groups, batch.column("text").cast(pa.large_binary())):
-            own = held[group]
-            size -= len(own)
-            counts: dict[bytes, int] = defaultdict(int)
-            for term in text.as_py().translate(_TERM_BYTES).split():
-                counts[term] += 1
-            for term, k in counts.items():
-                have = own.get(term)
-                if have is None:
-                    own[term] = [k, 1]
-                else:
-                    have[0] += k
-                    have[1] += 1
-            if not own:  # a group without terms must still occur
-                own[b""] = [0, 0]
-            size += len(own)
+            times, rows = held.setdefault(group, (Counter(), Counter()))
+            size -= len(times)
+            found = text.as_py().translate(_TERM_BYTES).split()
+            times.update(found)
+            rows.update(set(found))
+            if not times:  # a group without terms must still occur
+                times[b""] = 0
+            size += len(times)
             if size >= HELD_TERMS:
                 yield out()
                 size = 0
