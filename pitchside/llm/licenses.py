@@ -59,7 +59,7 @@ RESERVED = {"path_key", "no_path", "text", "content", "text_key", "own_licence",
             "from_directory", "from_licence", "licence", "licences", "own_licences", "score", "origin", "licence_directory"}
 
 # Short notices and headers by SPDX name (fixed values).
-TEMPLATES = [
+NOTICES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files, to deal in the Software without restriction"),
@@ -99,7 +99,9 @@ TEMPLATES = [
       for name, thing, kind, version in [
           ("GPL-2.0", "program", "", "2"), ("GPL-3.0", "program", "", "3"), ("AGPL-3.0", "program", "Affero ", "3"),
           ("LGPL-2.1", "library", "Lesser ", "2.1"), ("LGPL-3.0", "library", "Lesser ", "3")]],
-    # whole licences
+]
+# Whole licences (fixed values).
+WHOLE_TEXTS = [
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
 limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
@@ -131,8 +133,10 @@ POSSIBILITY OF SUCH DAMAGE.""")
     # licences of many pages, one file each
     *[(path.stem, path.read_text()) for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))],
 ]
-# headers that only name the licence
-TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in sorted({name for name, _ in TEMPLATES} - {"Proprietary"})]
+# Headers that only name the licence.
+IDENTIFIERS = [(name, f"SPDX-License-Identifier: {name}")
+               for name in sorted({name for name, _ in NOTICES + WHOLE_TEXTS} - {"Proprietary"})]
+TEMPLATES = NOTICES + IDENTIFIERS + WHOLE_TEXTS
 
 
 def terms_of(text: Column) -> Column:
