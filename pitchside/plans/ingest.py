@@ -35,6 +35,7 @@ from ..sinks.generations import GenerationStore
 from ..sinks.writers import write_partitioned, write_quarantine
 from ..sources import raw_json as R
 from .listing import commit_listing, listing_changes
+from .verify import list_objects
 
 # Raw columns read from every event: the staged set; ``id`` stays text (real
 # ids are uuids), the other types follow the staged contract.
@@ -219,22 +220,25 @@ def ingest_changes(spark: SparkSession, raw_dir: str, state_dir: str,
     ``max_files`` files, in the lines layout folders: each touched folder is
     read whole, once. Returns the changes (key, change, size, modified).
     """
-    changes, number = listing_changes(spark, raw_dir, state_dir)
-    name = F.col("path") if layout == "array" else F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-    keys = changes.filter("change <> 'gone'").select(name.alias("path")).distinct().orderBy("path").toLocalIterator()
-    part, paths = 0, []
-
-    def store() -> None:
-        nonlocal part, paths
+    changes, number, begun = listing_changes(spark, raw_dir, state_dir)
+    unit = F.col("path") if layout == "array" else F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    units = changes.filter("change <> 'gone'").select(unit.alias("path")).distinct().withColumn("there", F.lit(True))
+    if begun:  # what went meanwhile keeps its place in the batches but is not read
+        now = list_objects(spark, raw_dir, "*.json").select(unit.alias("path")).distinct()
+        units = units.drop("there").join(now.withColumn("there", F.lit(True)), "path", "left")
+
+    def store(part: int, paths: list[str]) -> None:
         if paths:
             ingest(R.read_raw_files(spark, paths, layout), f"listing-{number:08d}-{part:05d}")
-        part, paths = part + 1, []
 
-    for row in keys:
-        paths.append(row["path"])
-        if len(paths) >= max_files:
-            store()
-    store()
+    n, paths = 0, []
+    for row in units.orderBy("path").toLocalIterator():
+        paths += [row["path"]] if row["there"] else []
+        n += 1
+        if n % max_files == 0:
+            store(n // max_files - 1, paths)
+            paths = []
+    store(n // max_files, paths)
     commit_listing(spark, state_dir, number)
     return changes.select("key", "change", "size", "modified")
 

@@ -48,8 +48,10 @@ def _listing_path(state_dir: str, number: int) -> str:
     return f"{state_dir.rstrip('/')}/listing={number:08d}"
 
 
-def listing_changes(spark: SparkSession, raw_dir: str, state_dir: str, glob: str = "*.json") -> tuple[DataFrame, int]:
-    """Changes since the committed listing, and the number of this one.
+def listing_changes(spark: SparkSession, raw_dir: str, state_dir: str,
+                    glob: str = "*.json") -> tuple[DataFrame, int, bool]:
+    """Changes since the committed listing, the number of this one, and
+    whether a run before began with them.
 
     Both the new listing and its changes are stored first: a run that broke
     off between them and ``commit_listing`` finds the same changes again,
@@ -58,14 +60,15 @@ def listing_changes(spark: SparkSession, raw_dir: str, state_dir: str, glob: str
     done = _last(spark, state_dir)
     number = done + 1
     changes = _listing_path(state_dir, number) + "-changes"
-    if not _exists(spark, changes + "/_SUCCESS"):
+    begun = _exists(spark, changes + "/_SUCCESS")
+    if not begun:
         stored = (spark.read.schema(LISTING).parquet(_listing_path(state_dir, done)) if done
                   else spark.createDataFrame([], LISTING))
         now = list_objects(spark, raw_dir, glob).select("key", "path", "size", "modified")
         now.write.mode("overwrite").parquet(_listing_path(state_dir, number))
         now = spark.read.schema(LISTING).parquet(_listing_path(state_dir, number))
         difference(stored, now).write.mode("overwrite").parquet(changes)
-    return spark.read.schema(CHANGES).parquet(changes), number
+    return spark.read.schema(CHANGES).parquet(changes), number, begun
 
 
 def commit_listing(spark: SparkSession, state_dir: str, number: int) -> None:

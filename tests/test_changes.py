@@ -128,6 +128,24 @@ def test_broken_off_changes_are_taken_up_with_the_same_keys(spark, scratch):
     assert seen[5:] == [("listing-00000002-00000", 1)]
 
 
+def test_key_that_goes_before_the_retry_is_left_out(spark, scratch):
+    raw, state, seen = f"{scratch}/raw", f"{scratch}/state", []
+
+    def store(rows, key):
+        seen.append((key, sorted(r.file_path[-6] for r in rows.collect())))
+        if len(seen) == 1:
+            raise RuntimeError("lost")
+
+    for k in range(4):
+        put(raw, f"match_{k}.json", [event(k)])
+    with pytest.raises(RuntimeError):
+        ingest_changes(spark, raw, state, store, max_files=2)
+    os.remove(f"{raw}/match_1.json")
+    ingest_changes(spark, raw, state, store, max_files=2)
+    assert seen[1:] == [("listing-00000001-00000", ["0"]), ("listing-00000001-00001", ["2", "3"])]
+    assert [(r.key, r.change) for r in ingest_changes(spark, raw, state, store).collect()] == [("match_1.json", "gone")]
+
+
 def test_touched_lines_folder_is_read_whole_once(spark, scratch, fme):
     raw, seen = f"{scratch}/raw", []
     export_events_json(fme.repartition(3), raw, rebalance=False)
