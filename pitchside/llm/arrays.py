@@ -8,6 +8,8 @@ bit mixer; keys that decide a result use two independent ones (128 bits).
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -206,3 +208,12 @@ def key_groups(batches, keys: list[str], least: int = 0, size_of: str | None = N
                 size += int(lengths[-1] - lengths[cut])
     if held:
         yield pa.Table.from_batches(held)
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: the Python
+    workers live on and share the executor with the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U, WORD_BASES, Words, key_groups, mix, prefix_hash, range_hash, slices
+from .arrays import U, WORD_BASES, Words, give_back, key_groups, mix, prefix_hash, range_hash, slices
 from .components import components
 from .keys import KEY, doc_id_of, key_columns, keyed
 
@@ -96,6 +96,7 @@ def _signatures(batches, size: int, bands: int, rows: int):
                 [piece.column("doc_key"), piece.column("text_tag"), pa.array(node.view(np.int64)),
                  pa.array(check.view(np.int64)), pa.array(words.count.astype(np.int64)), lists],
                 names=["doc_key", "text_tag", "sequence", "check", "n_words", "bands"])
+    give_back()
 
 
 def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -185,6 +186,7 @@ def _verify(batches, size: int, threshold: str):
         yield pa.RecordBatch.from_arrays(
             [pa.array(node[found]), pa.array(node[label][found]), pa.array(links[found].astype(np.int64)),
              pa.array(docs[found].astype(np.int64))], names=["node", "other", "text_links", "doc_links"])
+        give_back()
 
 
 def link(docs: DataFrame, size: int = SHINGLE, threshold: str = THRESHOLD, recall: float = RECALL,

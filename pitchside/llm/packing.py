@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .arrays import give_back
+
 MAX_TOKENS = 2048
 END_ID = 1
 WORD_MEMORY = 300_000
@@ -140,6 +142,7 @@ def _pieces(batches, path: str, end_id: int, most: int, with_ids: bool):
                 rows, ids, size = [], [], 0
         if rows:
             yield batch(rows, ids)
+    give_back()
 
 
 def pack(docs: DataFrame, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, path: str | None = None,
