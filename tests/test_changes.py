@@ -21,10 +21,10 @@ from pitchside.plans import listing, refresh, verify
 from pitchside.plans.ingest import ingest_batch, ingest_changes, ingest_files, ingest_generation
 from pitchside.plans.pipeline import PipelineConfig, build_marts, run_pipeline
 from pitchside.schema import NAMED_FIELDS, REQUIRED_RAW, STAGED
-from pitchside.session import scratch_path
+from pitchside.session import LISTING_TASKS, scratch_path
 from pitchside.sinks.generations import GenerationStore
-from pitchside.sinks.writers import export_events_json, export_match_arrays, open_bucketed, write_bucketed
-from pitchside.sources.raw_json import read_raw_files
+from pitchside.sinks.writers import _name_by_match, export_events_json, export_match_arrays, open_bucketed, write_bucketed
+from pitchside.sources.raw_json import read_raw_files, stream_names
 from pitchside.sources.tables import read_table
 from pitchside.streaming.alarm import alarm_states, alarm_transitions, failure_windows
 from pitchside.streaming.dedup import run_dedup
@@ -385,3 +385,35 @@ def test_listing_has_real_sizes(spark, scratch):
     got = verify.list_objects(spark, scratch, "*.json").collect()
     assert [(r.key, r["size"]) for r in got] == [("a.b+c/match_1.json", os.path.getsize(path))]
     assert verify.list_objects(spark, f"{scratch}/none").count() == 0
+
+
+def test_listings_run_in_few_tasks(spark, scratch):
+    default = "10000"
+    raw = f"{scratch}/raw"
+    put(raw, "match_1.json", [event(1, team="A")])
+    spark.conf.set(LISTING_TASKS, default)
+    read_raw_files(spark, raw)
+    assert int(spark.conf.get(LISTING_TASKS)) <= 2 * max(spark.sparkContext.defaultParallelism, 4)
+    spark.conf.set(LISTING_TASKS, "77")  # a session's own value stays
+    read_raw_files(spark, raw)
+    assert spark.conf.get(LISTING_TASKS) == "77"
+    spark.conf.set(LISTING_TASKS, default)
+
+
+def test_lines_stream_carries_names_alone(spark, scratch):
+    put(f"{scratch}/raw", "match_id=1/part-0.json", [event(1, team="A")])
+    names = stream_names(spark, f"{scratch}/raw")
+    assert names.columns == ["file_path"]
+    seen = []
+    q = names.writeStream.foreachBatch(lambda b, _: seen.extend(r.file_path for r in b.collect())).option(
+        "checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert [s.rpartition("/")[2] for s in seen] == ["part-0.json"]
+
+
+def test_a_match_in_two_files_is_not_renamed(spark, scratch):
+    for n in range(2):
+        put(f"{scratch}/_parts", f"match_id=1/part-{n}.json", [event(1, team="A")])
+    with pytest.raises(ValueError, match="match 1 was written as 2 files"):
+        _name_by_match(spark, f"{scratch}/_parts", lambda m: f"{scratch}/match_{m}.json")
+    assert not os.path.exists(f"{scratch}/match_1.json")
