@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -289,3 +290,25 @@ def test_clashing_columns_of_files_and_pages(spark):
         assert make(pages).count() == 3 and make(pages.limit(0)).count() == 0
     got = html.extract(pages).orderBy("page_id").collect()
     assert [(r["text"], r["n_chars"]) for r in got] == [("A", 1), ("", 0), ("", 0)]
+
+
+def test_common_words_in_one_search(spark):
+    common = ["the", "a", "a.b", "(a)", "c++", "$1", "\\x", "[", "a|b", "é–", "*"]
+    texts = ["", " \t", "the", " the!! of... ,,, ; the?x THE", "\n\t The,\r\n\x0b of the, .", "a a a. a", "the\x0cthe ",
+             "(a) (A)! c++ C++, $1 \\x \\X a.b. a.b [; a|b É–. é– * **", "a" + "." * 100_000 + "x the. "]
+    bare = lambda w: w.lower().rstrip(".,;:!?")
+    rows = quality._with_text(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"))
+    names = F.array(*[F.lit(c) for c in common])
+    got = rows.select("text", quality.common_counts(F.col("__text"), F.col("__words"), names).alias("n")).collect()
+    for text, found in got:
+        words = [bare(w) for w in WORDS.findall(text)]
+        hits = [words.count(c) for c in common]
+        assert found == [*hits, len(words) - sum(hits)]
+
+
+def test_substring_tasks_return_memory(monkeypatch):
+    calls = []
+    monkeypatch.setattr(substring, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([7]), pa.array(["w " * 30])], names=["doc_key", "text_tag", "text"])
+    rows = list(substring._part_rows(iter([batch]), 20, 10, 10, []))
+    assert sum(r.num_rows for r in rows) > 0 and calls == [1]
