@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import WORD_BASES, Words, owned_runs, prefix_hash, range_hash, ranges, slices
+from .arrays import WORD_BASES, Words, give_back, owned_runs, prefix_hash, range_hash, ranges, slices
 from .keys import KEY, by_document, doc_id_of, key_columns, keyed, with_arrays
 
 WINDOW = 20
@@ -121,10 +121,12 @@ class _Slice:
 
 def _open(batches: Iterator[pa.RecordBatch], window: int, base: int, parts: list[int]):
     for batch in batches:
-        for piece in slices(batch, "text", 2 << 20):
+        for piece in slices(batch, "text", 1 << 20):
             s = _Slice(piece, window, base)
             s.settle(piece, parts)
             yield piece, s
+            del s
+    give_back()
 
 
 def _part_rows(batches, window, base, part, before):
