@@ -77,7 +77,7 @@ def drop_common(docs: DataFrame, least_chars: int = LEAST_CHARS,
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), rest))
     return rows.select(
         *KEY, (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
+        F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
 
 
 def digests(rows: DataFrame) -> DataFrame:
