@@ -21,7 +21,7 @@ from pitchside.plans import listing, refresh, verify
 from pitchside.plans.ingest import ingest_batch, ingest_changes, ingest_files, ingest_generation
 from pitchside.plans.pipeline import PipelineConfig, build_marts, run_pipeline
 from pitchside.schema import NAMED_FIELDS, REQUIRED_RAW, STAGED
-from pitchside.session import LISTING_TASKS, scratch_path
+from pitchside.session import LISTING_TASKS, METHOD_LIMIT, scratch_path, small_methods
 from pitchside.sinks.generations import GenerationStore
 from pitchside.sinks.writers import _name_by_match, export_events_json, export_match_arrays, open_bucketed, write_bucketed
 from pitchside.sources.raw_json import read_raw_files, stream_names
@@ -417,3 +417,68 @@ def test_a_match_in_two_files_is_not_renamed(spark, scratch):
     with pytest.raises(ValueError, match="match 1 was written as 2 files"):
         _name_by_match(spark, f"{scratch}/_parts", lambda m: f"{scratch}/match_{m}.json")
     assert not os.path.exists(f"{scratch}/match_1.json")
+
+
+# -- the work of one batch -----------------------------------------------------
+
+def test_a_batch_runs_few_jobs(spark, scratch):
+    for n in range(1, 5):
+        put(f"{scratch}/raw", f"match_{n}.json", [event(1, period=9 if n == 3 else 1), event(2)])
+    put(f"{scratch}/raw", "match_4__v2.json", [event(1, team="NEW")])
+    sc = spark.sparkContext
+    sc.setJobGroup(scratch, "one batch")
+    try:
+        result = ingest_files(spark, f"{scratch}/raw", f"{scratch}/p", f"{scratch}/q")
+    finally:
+        sc._jsc.clearJobGroup()
+    assert (result.files, result.rejected_files, result.accepted_rows) == (5, 2, 5)
+    assert len(sc.statusTracker().getJobIdsForGroup(scratch)) <= 18
+    late = spark.read.parquet(f"{scratch}/q").select("match_id", "rule", "value").collect()
+    assert sorted(map(tuple, late)) == [(3, "accepted_values_period", "9"), (4, "superseded", "0")]
+
+
+def test_first_batch_without_restatements_stores_no_versions(spark, scratch):
+    put(f"{scratch}/raw", "match_1.json", [event(1)])
+    ingest_files(spark, f"{scratch}/raw", f"{scratch}/p", f"{scratch}/q")
+    assert not os.path.exists(f"{scratch}/p_versions")
+    put(f"{scratch}/raw2", "match_1__v3.json", [event(1, team="NEW")])
+    ingest_files(spark, f"{scratch}/raw2", f"{scratch}/p", f"{scratch}/q")
+    assert [(r.match_id, int(r.version)) for r in spark.read.parquet(f"{scratch}/p_versions").collect()] == [(1, 3)]
+
+
+def test_one_bad_record_takes_out_every_file_of_its_folder(spark, scratch):
+    put(f"{scratch}/raw", "match_id=1/part-0.json", event(1))
+    put(f"{scratch}/raw", "match_id=1/part-1.json", event(2, period=9))
+    put(f"{scratch}/raw", "match_id=2/part-0.json", event(1))
+    result = ingest_files(spark, f"{scratch}/raw", f"{scratch}/p", f"{scratch}/q", "lines")
+    assert (result.files, result.rejected_files, result.accepted_rows) == (2, 1, 1)
+    assert teams(spark, f"{scratch}/p") == [(2, "T1")]
+
+
+def test_small_methods_hold_for_the_write_alone(spark):
+    before = spark.conf.get(METHOD_LIMIT)
+    with pytest.raises(KeyError), small_methods(spark):
+        assert spark.conf.get(METHOD_LIMIT) == "8000"
+        raise KeyError
+    assert spark.conf.get(METHOD_LIMIT) == before
+    spark.conf.set(METHOD_LIMIT, "20000")  # a session's own value stays
+    with small_methods(spark):
+        assert spark.conf.get(METHOD_LIMIT) == "20000"
+    spark.conf.set(METHOD_LIMIT, before)
+
+
+def test_pipeline_computes_its_catalogue_once(spark, scratch, fme):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(name):
+        seen.add(1)
+        return name
+
+    matches = matches_dim(fme).withColumn("home_team", F.udf(counted, "string")("home_team"))
+    n = matches_dim(fme).count()
+    cfg = PipelineConfig(root=scratch, competition_id=None, season_id=None, max_matches=None, run_tests=False,
+                         max_files_per_trigger=1)
+    row = run_pipeline(spark, fme, matches, cfg).first()
+    assert (row.ingested, row.processed, row.events_loaded) == (n, n, fme.count()) and n > 1
+    assert seen.value == n
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= 1  # the fixture's own
