@@ -29,7 +29,7 @@ from .registry import _MATCHES_SQL, _NO_ARRAYS_SQL, _HUBS_SQL, _VIOLATIONS_SQL,
 from .schema import NAMED_FIELDS, REQUIRED_RAW, STAGED_COLUMNS
 from .session import scratch_path
 from .sinks.generations import GenerationStore
-from .sinks.writers import export_match_arrays, to_nested, write_bucketed
+from .sinks.writers import export_match_arrays, to_nested, write_bucketed, write_table
 from .sources.raw_json import read_raw_files
 from .sources.tables import read_table
 from .streaming.alarm import alarm_transitions, failure_windows
@@ -54,7 +54,8 @@ def _root(spark: SparkSession, name: str):
 def q_ingest_array_raw(spark, sf):
     at, fme = _root(spark, "array"), match_events(spark, sf)
     export_match_arrays(fme.drop("home_team", "away_team"), at("raw"))
-    ingest_files(spark, at("raw"), at("processed"), at("quarantine"), matches=matches_dim(fme))
+    write_table(matches_dim(fme), at("matches"))  # its size is known then, so the events are not shuffled for it
+    ingest_files(spark, at("raw"), at("processed"), at("quarantine"), matches=spark.read.parquet(at("matches")))
     return staged_out(spark.read.parquet(at("processed")))
 
 
